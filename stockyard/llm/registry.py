@@ -1,9 +1,11 @@
 """The queries of the training-data operators; each applies one operator to its whole table."""
 
-from . import quality_ledger
+from . import bit_planes, packing, quality_ledger
 
 QUERIES = {
+    "op4_bit_planes": bit_planes.query,
     "op5_rule_ledger": quality_ledger.query,
+    "op7_packing": packing.query,
 }
 ORACLE = {
     "op5_rule_ledger": quality_ledger.ORACLE,
