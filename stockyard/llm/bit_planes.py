@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, shared_path, text_bytes, texts
+from .common import read, restored, shared_path, text_bytes, texts
 from .tokens import WordEncoder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -189,9 +189,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("part_first", "part_length", "crc"))).alias("p"))
         .select("shard", "doc_id", "doc_start", "n_tokens", joined("p").alias("ids_crc32"))
     )
-    return (
+    return restored(
         whole.unionByName(split)
-        .join(F.broadcast(bases), "shard")
+        .join(bases, "shard")
         .select("doc_id", (F.col("base") + F.col("doc_start")).alias("start"), "n_tokens", "ids_crc32")
     )
 

@@ -29,9 +29,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Stands for a null id inside operators; results show null again.
+NO_ID = -(2**63)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns that operators work on; a null text counts as empty, rows without an id are kept."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """The two columns that operators work on; a null text counts as empty, a null id as the smallest id."""
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def restored(df: DataFrame, *id_cols: str) -> DataFrame:
+    """Show null ids as null again."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in id_cols or ("doc_id",)})
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .bit_planes import END_ID, TOKENIZER, encoder
-from .common import read, text_bytes, texts
+from .common import read, restored, text_bytes, texts
 
 SIZE = 2048
 SENTENCE = 4
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, size: int = SIZE) -> DataF
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(SCHEMA))
-    return texts(docs).mapInArrow(lambda it: _pack(it, tokenizer, size, schema), SCHEMA)
+    return restored(texts(docs).mapInArrow(lambda it: _pack(it, tokenizer, size, schema), SCHEMA))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

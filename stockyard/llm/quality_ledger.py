@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import restored, texts
 
 SPACE = r"[ \x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -82,7 +82,7 @@ def measurements(docs: DataFrame) -> DataFrame:
         ),
     )
     covered = "CASE WHEN size(q) = 0 THEN 0 WHEN size(q) = 1 THEN 3 ELSE 3 + aggregate(sequence(1, size(q) - 1), 0, (a, k) -> a + least(3, q[k] - q[k - 1])) END"
-    return df.select("doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.expr(covered).cast("long").alias("n_repeat_words"))
+    return restored(df).select("doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.expr(covered).cast("long").alias("n_repeat_words"))
 
 
 def ledger(docs: DataFrame) -> DataFrame:
