@@ -7,7 +7,10 @@ needed; suffixes that are still equal after the last digit are exactly the repea
    thirty is such an anchor. Windows around an anchor that occurs once are unique and leave here.
 2. Second digit: the whole string around the anchor, over all its windows. Anchors whose strings are equal repeat all
    their windows, so one row settles about thirty suffixes.
-3. Last digit: the windows themselves, only for the first of each string whose anchor has several different strings.
+3. Third digit, for the first of each string whose anchor has several different strings: its windows in cells of CELL
+   neighbouring anchor offsets. A cell's core, which all its windows hold, takes the anchor's part: unique cores leave,
+   equal strings around them settle a cell.
+4. Last digit: the windows themselves, for the first of each string whose core has several.
 
 Each pass deals rows by the digit's hash and sorts them; the sorted rows stream through constant memory. Rows of a hot
 digit are first thinned in their task: of equal ones only the earliest is dealt by the digit, the others are known to
@@ -29,25 +32,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, mix, read, restored, slices, text_bytes, texts
-from .suffix_kernel import anchors, gram_hashes, window_hashes
+from .suffix_kernel import GRAM, anchors, gram_hashes, window_hashes
 
 THRESHOLD = 100
 #: Rows that are thinned together in a task.
 THIN_ROWS = 1 << 19
+#: Anchor offsets in a cell of the third digit.
+CELL = 12
 
-#: a, b: digit hashes; the row stands for the windows that start at s to s + n - 1; known: settled as repeated already.
-ROWS = "a bigint, b bigint, doc_id bigint, s bigint, n int, known boolean"
-#: fine: the windows still have to be told apart by the last digit.
-FOUND = "doc_id bigint, s bigint, n int, fine boolean"
+#: a, b: digit hashes; the row stands for the windows that start at s to s + n - 1, around the anchor at s + o; known: settled as repeated already.
+ROWS = "a bigint, b bigint, doc_id bigint, s bigint, n int, o int, known boolean"
+#: fine: the windows still have to be told apart by the next digit.
+FOUND = "doc_id bigint, s bigint, n int, o int, fine boolean"
 
-_ROWS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("known", pa.bool_())])
-_FOUND = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("fine", pa.bool_())])
+_ROWS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("o", pa.int32()), ("known", pa.bool_())])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("o", pa.int32()), ("fine", pa.bool_())])
 
 
-def _thin(a, b, doc, s, n) -> pa.RecordBatch:
+def _thin(a, b, doc, s, n, o) -> pa.RecordBatch:
     """Of rows with equal digits in one task, all but the earliest are known to repeat; neighbours among those become one row."""
     order = np.lexsort((s, doc, b, a))
-    a, b, doc, s, n = a[order], b[order], doc[order], s[order], n[order]
+    a, b, doc, s, n, o = a[order], b[order], doc[order], s[order], n[order], o[order]
     same = np.zeros(len(a), bool)
     same[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     head = np.flatnonzero(~same)
@@ -66,7 +71,7 @@ def _thin(a, b, doc, s, n) -> pa.RecordBatch:
     else:
         kd = ks = kn = spread = np.zeros(0, np.int64)
     u = ~known
-    cols = [np.concatenate(x) for x in ((a[u].view(np.int64), spread), (b[u].view(np.int64), spread), (doc[u], kd), (s[u], ks), (n[u].astype(np.int32), kn.astype(np.int32)))]
+    cols = [np.concatenate(x) for x in ((a[u].view(np.int64), spread), (b[u].view(np.int64), spread), (doc[u], kd), (s[u], ks), (n[u].astype(np.int32), kn.astype(np.int32)), (o[u].astype(np.int32), np.zeros(len(kd), np.int32)))]
     return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.repeat([False, True], [int(u.sum()), len(kd)]))], schema=_ROWS)
 
 
@@ -93,19 +98,30 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[
             if len(at):
                 row = np.searchsorted(bounds, at, "right") - 1
                 n = s1 - s0 + 1
-                whole = mix(window_hashes(grams, s0, threshold) * np.uint64(3) + mix(window_hashes(grams, s1, threshold) + (n << 8 | (at - s0)).astype(np.uint64)))
-                yield grams[at], whole, ids[lo + row], s0 - bounds[row], n
+                whole = _string_hashes(grams, s0, s1, at, threshold)
+                yield grams[at], whole, ids[lo + row], s0 - bounds[row], n, at - s0
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[tuple]:
+def _string_hashes(grams: np.ndarray, s0: np.ndarray, s1: np.ndarray, at: np.ndarray, threshold: int) -> np.ndarray:
+    """Of the whole string under the windows s0 to s1, with its place around the anchor."""
+    return mix(window_hashes(grams, s0, threshold) * np.uint64(3) + mix(window_hashes(grams, s1, threshold) + (s1 - s0 + 1 << 8 | (at - s0)).astype(np.uint64)))
+
+
+def _cell_rows(batches: Iterator[pa.RecordBatch], threshold: int, width: int) -> Iterator[tuple]:
     for batch in batches:
         off, data = text_bytes(batch.column(1))
         for k, (doc_id, runs) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
             grams = gram_hashes(data[off[k] : off[k + 1]])
-            last = off[k + 1] - off[k] - threshold
-            at = np.unique(np.concatenate([np.arange(r["s"], min(r["s"] + r["n"], last + 1)) for r in runs])).astype(np.int64)
-            if len(at):
-                yield window_hashes(grams, at, threshold), grams[at], np.full(len(at), doc_id), at, np.ones(len(at), np.int64)
+            s0, n, o = (np.array([r[x] for r in runs], np.int64) for x in ("s", "n", "o"))
+            s1, at = np.minimum(s0 + n - 1, off[k + 1] - off[k] - threshold), s0 + o
+            for o1 in range(0, int(o.max()) + 1, width):
+                o2 = min(o1 + width - 1, threshold - GRAM)
+                lo, hi = np.maximum(s0, at - o2), np.minimum(s1, at - o1)
+                some = lo <= hi
+                if some.any():
+                    lo, hi, p = lo[some], hi[some], at[some]
+                    core = mix(window_hashes(grams, p - o1, threshold - (o2 - o1)) + np.uint64(o1))
+                    yield core, _string_hashes(grams, lo, hi, p, threshold), np.full(len(lo), doc_id), lo, hi - lo + 1, p - lo
 
 
 def _repeats(batches: Iterator[pa.RecordBatch], refine: bool) -> Iterator[pa.RecordBatch]:
@@ -114,12 +130,12 @@ def _repeats(batches: Iterator[pa.RecordBatch], refine: bool) -> Iterator[pa.Rec
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b, doc, s, n = (batch.column(k).to_numpy() for k in range(5))
-        known = batch.column(5).to_numpy(zero_copy_only=False)
+        a, b, doc, s, n, o = (batch.column(k).to_numpy() for k in range(6))
+        known = batch.column(6).to_numpy(zero_copy_only=False)
         out = []
         if held is not None:  # the held row's (a, b) goes on: rows are compared with its first row
-            a, b, doc, s, n = (np.concatenate([[h], x]) for h, x in zip(held[:5], (a, b, doc, s, n), strict=True))
-            known = np.concatenate([[held[5]], known])
+            a, b, doc, s, n, o = (np.concatenate([[h], x]) for h, x in zip(held[:6], (a, b, doc, s, n, o), strict=True))
+            known = np.concatenate([[held[6]], known])
         same_a = np.zeros(len(a), bool)
         same_a[1:] = (a[1:] == a[:-1]) & ~known[1:] & ~known[:-1]
         same = same_a.copy()
@@ -129,7 +145,7 @@ def _repeats(batches: Iterator[pa.RecordBatch], refine: bool) -> Iterator[pa.Rec
         repeat = known | (same & ((doc != doc[first]) | (s != s[first])))
         if held is not None:
             repeat[0] = False
-        out.append((doc[repeat], s[repeat], n[repeat], np.zeros(int(repeat.sum()), bool)))
+        out.append((doc[repeat], s[repeat], n[repeat], o[repeat], np.zeros(int(repeat.sum()), bool)))
         if refine:
             starts_b = np.zeros(len(a), bool)
             starts_b[1:] = same_a[1:] & ~same[1:]  # another string of the same anchor begins here
@@ -139,17 +155,17 @@ def _repeats(batches: Iterator[pa.RecordBatch], refine: bool) -> Iterator[pa.Rec
             before = first[follows - 1]
             again[before] = True
             if held is not None:
-                again[0] = again[0] and not held[6]  # told already
+                again[0] = again[0] and not held[7]  # told already
             again &= ~repeat
-            out.append((doc[again], s[again], n[again], np.ones(int(again.sum()), bool)))
-            told = bool(again[first[-1]] or (first[-1] == 0 and held is not None and held[6]))
+            out.append((doc[again], s[again], n[again], o[again], np.ones(int(again.sum()), bool)))
+            told = bool(again[first[-1]] or (first[-1] == 0 and held is not None and held[7]))
         else:
             told = False
         f = first[-1]
-        held = [a[f], b[f], doc[f], s[f], n[f], known[f], told]
+        held = [a[f], b[f], doc[f], s[f], n[f], o[f], known[f], told]
         cols = [np.concatenate(x) for x in zip(*out, strict=True)]
         if len(cols[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2].astype(np.int32)), pa.array(cols[3])], schema=_FOUND)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32)), pa.array(cols[4])], schema=_FOUND)
 
 
 def _pass(rows: DataFrame, refine: bool) -> DataFrame:
@@ -159,13 +175,17 @@ def _pass(rows: DataFrame, refine: bool) -> DataFrame:
 def repeated_windows(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id and runs (array of s, n): the windows that also start earlier, by their starts. Only documents that have some."""
     rows = texts(docs)
-    by_anchor = _pass(rows.mapInArrow(lambda it: _thinned(_anchor_rows(it, threshold)), ROWS), True)
-    found = cut(by_anchor)
-    fine = found.where("fine").groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
-    wanted = rows.join(fine.hint("merge"), "doc_id").select("doc_id", "text", "runs")
-    by_window = _pass(wanted.mapInArrow(lambda it: _thinned(_window_rows(it, threshold)), ROWS), False)
-    both = found.where("NOT fine").select("doc_id", "s", "n").unionByName(by_window.select("doc_id", "s", "n"))
-    return both.groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
+    found = cut(_pass(rows.mapInArrow(lambda it: _thinned(_anchor_rows(it, threshold)), ROWS), True))
+
+    def deeper(found: DataFrame, width: int, refine: bool) -> DataFrame:
+        fine = found.where("fine").groupBy("doc_id").agg(F.collect_list(F.struct("s", "n", "o")).alias("runs"))
+        wanted = rows.join(fine.hint("merge"), "doc_id").select("doc_id", "text", "runs")
+        return _pass(wanted.mapInArrow(lambda it: _thinned(_cell_rows(it, threshold, width)), ROWS), refine)
+
+    by_cell = deeper(found, CELL, True)
+    by_window = deeper(by_cell, 1, False)
+    settled = [x.where("NOT fine").select("doc_id", "s", "n") for x in (found, by_cell, by_window)]
+    return settled[0].unionByName(settled[1]).unionByName(settled[2]).groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
 
 
 def _apply(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
