@@ -59,9 +59,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write a small or costly intermediate result to the shared folder, so that lost executors do not force it to be made again."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a small or costly intermediate result as a table in the shared folder and read it back.
+
+    Lost executors then do not force it to be made again, and later plans start from its files and their sizes.
+    """
+    path = shared_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
