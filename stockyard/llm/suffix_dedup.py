@@ -107,21 +107,37 @@ def _string_hashes(grams: np.ndarray, s0: np.ndarray, s1: np.ndarray, at: np.nda
     return mix(window_hashes(grams, s0, threshold) * np.uint64(3) + mix(window_hashes(grams, s1, threshold) + (s1 - s0 + 1 << 8 | (at - s0)).astype(np.uint64)))
 
 
+def _runs(column: pa.Array, names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A column of lists of structs as offsets and one flat array per field; null counts as empty."""
+    column = column.fill_null([]) if column.null_count else column
+    flat = column.flatten()
+    return np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64), [flat.field(x).to_numpy().astype(np.int64) for x in names]
+
+
 def _cell_rows(batches: Iterator[pa.RecordBatch], threshold: int, width: int) -> Iterator[tuple]:
+    """The windows of the runs in cells of `width` anchor offsets: core hash and string hash of each cell."""
+    core = threshold - width + 1
     for batch in batches:
+        ids = batch.column(0).to_numpy()
         off, data = text_bytes(batch.column(1))
-        for k, (doc_id, runs) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            grams = gram_hashes(data[off[k] : off[k + 1]])
-            s0, n, o = (np.array([r[x] for r in runs], np.int64) for x in ("s", "n", "o"))
-            s1, at = np.minimum(s0 + n - 1, off[k + 1] - off[k] - threshold), s0 + o
-            for o1 in range(0, int(o.max()) + 1, width):
-                o2 = min(o1 + width - 1, threshold - GRAM)
-                lo, hi = np.maximum(s0, at - o2), np.minimum(s1, at - o1)
-                some = lo <= hi
-                if some.any():
-                    lo, hi, p = lo[some], hi[some], at[some]
-                    core = mix(window_hashes(grams, p - o1, threshold - (o2 - o1)) + np.uint64(o1))
-                    yield core, _string_hashes(grams, lo, hi, p, threshold), np.full(len(lo), doc_id), lo, hi - lo + 1, p - lo
+        first, (s, n, o) = _runs(batch.column(2), "sno")
+        for lo, hi in slices(off):
+            grams = gram_hashes(data[off[lo] : off[hi]])
+            part = slice(first[lo], first[hi])
+            row = np.repeat(np.arange(lo, hi), np.diff(first[lo : hi + 1]))
+            base = off[row] - off[lo]
+            s0 = s[part] + base
+            s1 = np.minimum(s0 + n[part] - 1, off[row + 1] - off[lo] - threshold)
+            at = s0 + o[part]
+            c0, c1 = (at - s1) // width, (at - s0) // width
+            cells = np.maximum(c1 - c0 + 1, 0)
+            k = np.repeat(np.arange(len(cells)), cells)
+            if not len(k):
+                continue
+            o1 = (c0[k] + np.arange(len(k)) - np.repeat(np.cumsum(cells) - cells, cells)) * width
+            p, lower, upper = at[k], np.maximum(s0[k], at[k] - o1 - width + 1), np.minimum(s1[k], at[k] - o1)
+            hashes = mix(window_hashes(grams, p - o1, core) + o1.astype(np.uint64))
+            yield hashes, _string_hashes(grams, lower, upper, p, threshold), ids[row[k]], lower - base[k], upper - lower + 1, p - lower
 
 
 def _repeats(batches: Iterator[pa.RecordBatch], refine: bool) -> Iterator[pa.RecordBatch]:
@@ -182,30 +198,32 @@ def repeated_windows(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         wanted = rows.join(fine.hint("merge"), "doc_id").select("doc_id", "text", "runs")
         return _pass(wanted.mapInArrow(lambda it: _thinned(_cell_rows(it, threshold, width)), ROWS), refine)
 
-    by_cell = deeper(found, CELL, True)
+    by_cell = deeper(found, min(CELL, threshold - GRAM + 1), True)
     by_window = deeper(by_cell, 1, False)
     settled = [x.where("NOT fine").select("doc_id", "s", "n") for x in (found, by_cell, by_window)]
     return settled[0].unionByName(settled[1]).unionByName(settled[2]).groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
 
 
 def _apply(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
     for batch in batches:
+        ids = batch.column(0).to_pylist()
         off, data = text_bytes(batch.column(1))
-        out = []
-        for k, (doc_id, runs) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            text = data[off[k] : off[k + 1]]
-            if not runs:
-                out.append((doc_id, len(text), 0, [], [], text.tobytes()))
-                continue
-            s = np.array([r["s"] for r in runs], np.int64)
-            e = np.minimum(s + np.array([r["n"] for r in runs], np.int64) + threshold - 1, len(text))
-            change = np.zeros(len(text) + 1, np.int64)
-            np.add.at(change, np.minimum(s, len(text)), 1)
-            np.add.at(change, e, -1)
-            gone = np.cumsum(change)[:-1] > 0
-            edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-            out.append((doc_id, len(text), int(gone.sum()), np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), text[~gone].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True)], names=["doc_id", "n_bytes", "n_removed", "span_starts", "span_ends", "kept"])
+        first, (starts, counts) = _runs(batch.column(2), "sn")
+        for lo, hi in slices(off, 1 << 22):
+            out = []
+            for k in range(lo, hi):
+                text = data[off[k] : off[k + 1]]
+                part = slice(first[k], first[k + 1])
+                if first[k] == first[k + 1]:
+                    out.append((ids[k], len(text), 0, [], [], text.tobytes()))
+                    continue
+                s = np.minimum(starts[part], len(text))
+                change = np.bincount(s, minlength=len(text) + 1) - np.bincount(np.minimum(s + counts[part] + threshold - 1, len(text)), minlength=len(text) + 1)
+                gone = np.cumsum(change)[:-1] > 0
+                edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
+                out.append((ids[k], len(text), int(gone.sum()), np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), text[~gone].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "span_starts", "span_ends", "kept"])
 
 
 def dedup(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
