@@ -27,6 +27,8 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 def window_hashes(grams: np.ndarray, at: np.ndarray, threshold: int) -> np.ndarray:
     """The hash of the `threshold` bytes at each of the places, from overlapping grams."""
     out = grams[at]
+    if threshold < GRAM:
+        raise ValueError(f"a string of {threshold} bytes is shorter than the first digit")
     for step in [*range(GRAM, threshold - GRAM, GRAM), threshold - GRAM]:
         out = mix(out * _A + grams[at + step])
     return out
