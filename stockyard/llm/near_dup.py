@@ -8,10 +8,11 @@ Two texts miss each other in all tables only if all halves of one collection dif
 1. Texts with equal shingle sets become one representative.
 2. Keys that several representatives share are buckets. The most central member of a bucket (the one with most company
    over all tables) is its leader and is compared with all others, which is linear in the bucket.
-3. Components follow from the confirmed links. In a bucket with several components the leader goes, and so do members
-   that the triangle inequality of Jaccard distance keeps from every member of another component; the rest is
-   compared in further rounds, and after ROUNDS pairwise, but only across components. So no link that joins two
-   groups of a bucket is lost, and equal or linked texts are never expanded into all pairs.
+3. Components follow from the confirmed links. What is left are pairs of different components that share a leader.
+   With s the shingles of a member that its leader has and r the others, two members share at most min(s, s') + (their
+   common others). Only pairs that this bound lets reach the similarity are compared: by size alone, or because they
+   share one of the others in a prefix that must hold a common one (prefix filter). So no link of a bucket is lost,
+   and equal, linked or clearly different texts are never expanded into pairs.
 
 Null, empty and space-only texts have an empty set and link with nothing; texts with fewer words than a shingle are one
 shingle. Repeated rows of an id count once in the groups and keep each their row. Extra columns are ignored; an empty
@@ -35,7 +36,6 @@ WORDS = 5
 SIMILARITY = (80, 100)
 HALVES = 12
 PER_HALF = 3
-ROUNDS = 3
 #: Members that are compared with one leader in one task.
 GROUP = 1000
 
@@ -81,85 +81,97 @@ def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), blobs.cast(pa.binary())], names=["id", "shingles"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (leader, part, member), the leader's own row (member null) first, to sizes of set pairs."""
+def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, list[tuple[int, np.ndarray]]]]:
+    """Rows sorted by (leader, part, member), the leader's own row (member null) first, to members with their leader's set."""
     leader, own = None, np.zeros(0, np.uint64)
     for batch in batches:
-        out = []
+        members: list[tuple[int, np.ndarray]] = []
         for a, b, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-            members = np.frombuffer(blob.as_buffer(), "<u8")
+            shingles = np.frombuffer(blob.as_buffer(), "<u8")
             if b is None:
-                leader, own = a, members
-                continue
-            assert a == leader
-            both = len(np.intersect1d(own, members, assume_unique=True))
-            out.append((a, b, both, len(own) + len(members) - both))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "both", "either"])
-
-
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) to (a, b, both, either): intersection and union of the full sets. Members of a large leader are split."""
+                if members:
+                    yield leader, own, members
+                leader, own, members = a, shingles, []
+            else:
+                members.append((b, shingles))
+        if members:
+            yield leader, own, members
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for a, own, members in _with_leader(batches):
+        out = [(a, b, len(np.intersect1d(own, x, assume_unique=True)), len(own), len(x)) for b, x in members]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "both", "n_a", "n_b"])
+
+
+def _others(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Per member, the prefix of its shingles that the leader lacks of which any link needs one in common."""
+    for a, own, members in _with_leader(batches):
+        ids, shingles = [], []
+        for b, x in members:
+            others = np.setdiff1d(x, own, assume_unique=True)
+            need = max(1, -(-num * len(x) // den) - (len(x) - len(others)))
+            others = np.sort(mix(others))[: max(0, len(others) - need + 1)]
+            ids.append(np.full(len(others), b))
+            shingles.append(others)
+        ids, shingles = np.concatenate(ids), np.concatenate(shingles)
+        if len(ids):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), a)), pa.array(ids), pa.array(shingles.view(np.int64))], names=["a", "b", "shingle"])
+
+
+def _by_leader(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) to the sets of each a and its b, ordered for _with_leader. The members of a large leader are split."""
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     parts = F.ceil(F.col("n") / GROUP).cast("int")
     pairs = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
     members = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "shingles")
     leaders = counts.join(sets.withColumnRenamed("id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "shingles")
-    rows = members.unionByName(leaders).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_compare, "a bigint, b bigint, both bigint, either bigint")
+    return members.unionByName(leaders).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) to (a, b, both, n_a, n_b): sizes of the full sets and of their intersection."""
+    return _by_leader(pairs, sets).mapInArrow(_sizes, "a bigint, b bigint, both bigint, n_a bigint, n_b bigint")
 
 
 def linked_groups(keys: DataFrame, sets_of, similarity: tuple[int, int]) -> DataFrame:
     """Shared table keys (key, id) to (id, root) over confirmed links. sets_of: makes the shingle sets of a table of ids."""
     num, den = similarity
-    reach = 1 - num / den
     crowd = Window.partitionBy("key")
+    is_link = F.col("both") * den >= (F.col("n_a") + F.col("n_b") - F.col("both")) * num
     live = cut(keys.withColumn("c", F.count(F.lit(1)).over(crowd)).where("c > 1"))
     central = live.groupBy("id").agg(F.sum("c").alias("cent"))
-    live = cut(live.join(central, "id").select("key", "id", "cent"))
     sets = sets_of(central.select("id"))
-    roots, tested = None, None
-    for k in range(ROUNDS + 1):
-        if roots is not None:
-            marked = live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        else:
-            marked = live.withColumn("root", F.col("id"))
-        spread = marked.withColumns({"low": F.min("root").over(crowd), "high": F.max("root").over(crowd)}).where("low < high").drop("low", "high")
-        order = crowd.orderBy(F.desc("cent"), "id")
-        spread = cut(spread.withColumns({"leader": F.first("id").over(order), "leader_root": F.first("root").over(order)}))
-        if spread.isEmpty():
-            break
-        if k < ROUNDS:
-            pairs = spread.where("root <> leader_root").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        else:  # what is left, across components only
-            other = spread.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"))
-            few = spread.where("root <> leader_root")
-            pairs = few.join(other, "key").where("root <> root_b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-        if tested is not None:
-            known = tested.select("a", "b").unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        fresh = cut(compared(pairs, sets))
-        tested = fresh if tested is None else tested.unionByName(fresh)
-        is_link = F.col("both") * den >= F.col("either") * num
-        if not fresh.where(is_link).isEmpty():
-            roots = components(tested.where(is_link).select("a", "b"))
-        if k == ROUNDS:
-            break
-        # The next round's members: without the leader, and without those too near to it to reach another component.
-        away = tested.select(F.col("a").alias("x"), F.col("b").alias("y"), (1 - F.col("both") / F.col("either")).alias("far"))
-        away = away.unionByName(away.select(F.col("y").alias("x"), F.col("x").alias("y"), "far")).groupBy("x", "y").agg(F.min("far").alias("far"))
-        rest = spread.where("id <> leader").select("key", "id", "cent", "leader").join(away.select(F.col("x").alias("leader"), F.col("y").alias("id"), "far"), ["leader", "id"], "left")
-        if roots is not None:
-            rest = rest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).join(roots.select(F.col("id").alias("leader"), F.col("root").alias("top")), "leader", "left").withColumn("top", F.coalesce("top", "leader"))
-        else:
-            rest = rest.withColumns({"root": F.col("id"), "top": F.col("leader")})
-        apart = F.col("root") != F.col("top")
-        rest = rest.withColumns({
-            "others": F.count(F.when(apart, 1)).over(crowd),
-            "nearest": F.min(F.when(apart, F.coalesce("far", F.lit(0.0)))).over(crowd),
-        })
-        live = cut(rest.where(apart | ((F.col("others") > 0) & (F.coalesce("far", F.lit(1.0)) + reach + 1e-9 >= F.col("nearest")))).select("key", "id", "cent"))
-    return roots if roots is not None else live.select("id", F.col("id").alias("root")).limit(0)
+    led = live.join(central, "id").withColumn("leader", F.first("id").over(crowd.orderBy(F.desc("cent"), "id")))
+    stars = cut(compared(led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), sets))
+    links = stars.where(is_link).select("a", "b")
+    roots = components(links)
+
+    # Members of a leader that are in different components.
+    rest = stars.join(roots.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"), F.col("both").alias("s"), F.col("n_b").alias("n"))
+    group = Window.partitionBy("a")
+    rest = rest.withColumns({"low": F.min("root").over(group), "high": F.max("root").over(group), "least": F.min("n").over(group)}).where("low < high").drop("low", "high")
+    rest = cut(rest.withColumn("spare", F.col("s") * (num + den) - F.col("n") * num))
+    x, y = (rest.select("a", *[F.col(c).alias(f"{c}_{side}") for c in ("b", "root", "s", "n", "spare")], "least") for side in "xy")
+    by_size = (
+        x.where(F.col("spare_x") >= num * F.col("least"))
+        .join(y.drop("least"), "a")
+        .where((F.col("root_x") != F.col("root_y")) & (F.col("s_x") <= F.col("s_y")) & (F.col("spare_x") >= num * F.col("n_y")))
+        .select(F.col("b_x").alias("x"), F.col("b_y").alias("y"))
+    )
+    others = _by_leader(rest.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint")
+    shared = Window.partitionBy("a", "shingle")
+    others = others.join(rest.select("a", "b", "root"), ["a", "b"])
+    others = cut(others.withColumns({"low": F.min("root").over(shared), "high": F.max("root").over(shared)}).where("low < high").drop("low", "high"))
+    by_shingle = (
+        others.select("a", "shingle", F.col("b").alias("x"), F.col("root").alias("root_x"))
+        .join(others.select("a", "shingle", F.col("b").alias("y"), F.col("root").alias("root_y")), ["a", "shingle"])
+        .where("root_x < root_y")
+        .select("x", "y")
+    )
+    pairs = by_size.unionByName(by_shingle).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = cut(compared(pairs, sets).where(is_link).select("a", "b"))
+    return roots if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, halves: int = HALVES, per_half: int = PER_HALF) -> DataFrame:

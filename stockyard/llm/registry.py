@@ -1,14 +1,17 @@
 """The queries of the training-data operators; each applies one operator to its whole table."""
 
-from . import bit_planes, license_scan, near_dup, packing, quality_ledger, suffix_dedup, toxicity
+from . import bit_planes, decontaminate, license_scan, line_dedup, near_dup, packing, quality_ledger, suffix_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_line_winnowing": line_dedup.query,
+    "op2_warc_derivatives": warc.query,
     "op3_license_automaton": license_scan.query,
     "op4_bit_planes": bit_planes.query,
     "op5_rule_ledger": quality_ledger.query,
     "op6_tensor_minhash": near_dup.query,
     "op7_packing": packing.query,
     "op8_toxicity_mil": toxicity.query,
+    "op9_edit_decontamination": decontaminate.query,
     "op10_suffix_radix": suffix_dedup.query,
 }
 ORACLE = {
