@@ -161,8 +161,19 @@ def linked_groups(keys: DataFrame, sets_of, similarity: tuple[int, int]) -> Data
     )
     others = _by_leader(rest.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint")
     shared = Window.partitionBy("a", "shingle")
-    others = others.join(rest.select("a", "b", "root"), ["a", "b"])
-    others = cut(others.withColumns({"low": F.min("root").over(shared), "high": F.max("root").over(shared)}).where("low < high").drop("low", "high"))
+    mixed = lambda df: df.withColumns({"low": F.min("root").over(shared), "high": F.max("root").over(shared)}).where("low < high").drop("low", "high")
+    others = cut(mixed(others.join(rest.select("a", "b", "root"), ["a", "b"])))
+    # Each such shingle is a bucket again: first its most central member against the others, then what is still apart.
+    company = others.withColumn("c", F.count(F.lit(1)).over(shared)).withColumn("cent", F.sum("c").over(Window.partitionBy("a", "b")))
+    order = shared.orderBy(F.desc("cent"), "b")
+    company = company.withColumns({"head": F.first("b").over(order), "head_root": F.first("root").over(order)}).where("root <> head_root")
+    heads = company.select(F.col("head").alias("a"), "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    again = cut(compared(heads, sets).where(is_link).select("a", "b"))
+    links = links.unionByName(again)
+    if not again.isEmpty():
+        roots = components(links)
+        fresh = roots.select(F.col("id").alias("b"), F.col("root").alias("new"))
+        others = cut(mixed(others.join(fresh, "b", "left").withColumn("root", F.coalesce("new", "root")).drop("new")))
     by_shingle = (
         others.select("a", "shingle", F.col("b").alias("x"), F.col("root").alias("root_x"))
         .join(others.select("a", "shingle", F.col("b").alias("y"), F.col("root").alias("root_y")), ["a", "shingle"])
