@@ -9,10 +9,13 @@ Two texts miss each other in all tables only if all halves of one collection dif
 2. Keys that several representatives share are buckets. The most central member of a bucket (the one with most company
    over all tables) is its leader and is compared with all others, which is linear in the bucket.
 3. Components follow from the confirmed links. What is left are pairs of different components that share a leader.
-   With s the shingles of a member that its leader has and r the others, two members share at most min(s, s') + (their
-   common others). Only pairs that this bound lets reach the similarity are compared: by size alone, or because they
-   share one of the others in a prefix that must hold a common one (prefix filter). So no link of a bucket is lost,
-   and equal, linked or clearly different texts are never expanded into pairs.
+   With s the shingles of a member that its leader has and r the others, two members share at most min(s, s') +
+   min(r, r'), and min(s, s') + (their common others). In groups of up to SMALL members the pairs that the first bound
+   allows are compared. In larger ones, pairs that the second allows by size alone, or because they share one of the
+   others in a prefix that must hold a common one (prefix filter); each such shingle first compares its most central
+   member with the others, and components are formed anew.
+4. Before sets are compared, minhashes of 8 bits each must agree in as many places as at the similarity looked for,
+   less four standard deviations (1 link in 30,000 at the similarity itself, fewer above).
 
 Null, empty and space-only texts have an empty set and link with nothing; texts with fewer words than a shingle are one
 shingle. Repeated rows of an id count once in the groups and keep each their row. Extra columns are ignored; an empty
@@ -25,21 +28,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, mix, read, restored, shared_path, slices, text_bytes, texts
 from .components import components
-from .shingles import MinHashes, shingle_sets, table_keys, tensor_halves
+from .shingles import MinHashes, shingle_sets, sketches, table_keys, tensor_halves
 
 WORDS = 5
 SIMILARITY = (80, 100)
 HALVES = 12
 PER_HALF = 3
+#: Members of a leader among which all pairs that the bounds allow are looked at.
+SMALL = 64
 #: Members that are compared with one leader in one task.
 GROUP = 1000
 
-SIGNATURES = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, halves array<bigint>"
+SIGNATURES = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, halves array<bigint>, sketch array<bigint>"
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -49,12 +54,13 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, halves: int, per_
         off, data = text_bytes(batch.column(1))
         for lo, hi in slices(off):
             sets, at = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], words)
-            parts = tensor_halves(hashes.of(sets, at), per_half)
+            minhashes = hashes.of(sets, at)
+            parts, sketch = tensor_halves(minhashes, per_half), sketches(minhashes)
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (mix(sets), mix(sets ^ _SALT))]
             k1, k2 = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
-            flat = pa.array(np.ascontiguousarray(parts).view(np.int64).reshape(-1))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * parts.shape[1]), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(k1), pa.array(k2), lists], names=["doc_id", "n_shingles", "k1", "k2", "halves"])
+            of_rows = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(np.ascontiguousarray(m).view(np.int64).reshape(-1)))
+            lists = of_rows(parts)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(k1), pa.array(k2), lists, of_rows(sketch)], names=["doc_id", "n_shingles", "k1", "k2", "halves", "sketch"])
 
 
 def signatures(docs: DataFrame, words: int = WORDS, halves: int = HALVES, per_half: int = PER_HALF) -> DataFrame:
@@ -134,9 +140,25 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _by_leader(pairs, sets).mapInArrow(_sizes, "a bigint, b bigint, both bigint, n_a bigint, n_b bigint")
 
 
-def linked_groups(keys: DataFrame, sets_of, similarity: tuple[int, int]) -> DataFrame:
-    """Shared table keys (key, id) to (id, root) over confirmed links. sets_of: makes the shingle sets of a table of ids."""
+def _agreeing(x: Column, y: Column, longs: int) -> Column:
+    """Places at which two sketches of eight bytes in each long agree."""
+    apart = F.lit(0)
+    for k in range(longs):
+        d = x[k].bitwiseXOR(y[k])
+        for step in (1, 2, 4):  # the lowest bit of a byte becomes the OR of its bits
+            d = d.bitwiseOR(F.shiftrightunsigned(d, step))
+        apart = apart + F.bit_count(d.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(8 * longs) - apart
+
+
+def linked_groups(keys: DataFrame, sets_of, sketch_of: DataFrame, minhashes: int, similarity: tuple[int, int]) -> DataFrame:
+    """Shared table keys (key, id) to (id, root) over confirmed links.
+
+    sets_of: makes the shingle sets of a table of ids. sketch_of: id and sketch.
+    """
     num, den = similarity
+    longs, mean = -(-minhashes // 8), minhashes * num / den
+    enough = int(mean - 4 * (mean * (1 - num / den)) ** 0.5) + 8 * longs - minhashes
     crowd = Window.partitionBy("key")
     is_link = F.col("both") * den >= (F.col("n_a") + F.col("n_b") - F.col("both")) * num
     live = cut(keys.withColumn("c", F.count(F.lit(1)).over(crowd)).where("c > 1"))
@@ -148,24 +170,33 @@ def linked_groups(keys: DataFrame, sets_of, similarity: tuple[int, int]) -> Data
     roots = components(links)
 
     # Members of a leader that are in different components.
-    rest = stars.join(roots.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"), F.col("both").alias("s"), F.col("n_b").alias("n"))
+    def mixed(df: DataFrame, by: list[str]) -> DataFrame:
+        w = Window.partitionBy(*by)
+        return df.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w)}).where("low < high").drop("low", "high")
+
     group = Window.partitionBy("a")
-    rest = rest.withColumns({"low": F.min("root").over(group), "high": F.max("root").over(group), "least": F.min("n").over(group)}).where("low < high").drop("low", "high")
-    rest = cut(rest.withColumn("spare", F.col("s") * (num + den) - F.col("n") * num))
-    x, y = (rest.select("a", *[F.col(c).alias(f"{c}_{side}") for c in ("b", "root", "s", "n", "spare")], "least") for side in "xy")
-    by_size = (
-        x.where(F.col("spare_x") >= num * F.col("least"))
-        .join(y.drop("least"), "a")
-        .where((F.col("root_x") != F.col("root_y")) & (F.col("s_x") <= F.col("s_y")) & (F.col("spare_x") >= num * F.col("n_y")))
-        .select(F.col("b_x").alias("x"), F.col("b_y").alias("y"))
-    )
-    others = _by_leader(rest.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint")
-    shared = Window.partitionBy("a", "shingle")
-    mixed = lambda df: df.withColumns({"low": F.min("root").over(shared), "high": F.max("root").over(shared)}).where("low < high").drop("low", "high")
-    others = cut(mixed(others.join(rest.select("a", "b", "root"), ["a", "b"])))
+    rest = stars.join(roots.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"), F.col("both").alias("s"), F.col("n_b").alias("n"))
+    rest = mixed(rest, ["a"]).withColumns({"least": F.min("n").over(group), "size": F.count(F.lit(1)).over(group), "spare": F.col("s") * (num + den) - F.col("n") * num})
+    rest = cut(rest.join(sketch_of.withColumnRenamed("id", "b"), "b"))
+
+    def sides(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+        return tuple(df.select("a", *[c for c in columns if c == "shingle"], *[F.col(c).alias(f"{c}_{side}") for c in columns if c != "shingle"]) for side in "xy")
+
+    alike = _agreeing(F.col("sketch_x"), F.col("sketch_y"), longs) >= enough
+    pair = (F.col("b_x").alias("x"), F.col("b_y").alias("y"))
+    reach = lambda common: common * (num + den) >= (F.col("n_x") + F.col("n_y")) * num
+    x, y = sides(rest.where(F.col("size") <= SMALL), "b", "root", "s", "n", "sketch")
+    common = F.least("s_x", "s_y") + F.least(F.col("n_x") - F.col("s_x"), F.col("n_y") - F.col("s_y"))
+    few = x.join(y, "a").where((F.col("root_x") < F.col("root_y")) & reach(common) & alike).select(*pair)
+    large = rest.where(F.col("size") > SMALL)
+    x, y = sides(large, "b", "root", "s", "n", "spare", "least", "sketch")
+    by_size = x.where(F.col("spare_x") >= num * F.col("least_x")).join(y, "a").where((F.col("root_x") != F.col("root_y")) & (F.col("s_x") <= F.col("s_y")) & (F.col("spare_x") >= num * F.col("n_y")) & alike).select(*pair)
+    others = _by_leader(large.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint")
+    others = cut(mixed(others.join(large.select("a", "b", "root"), ["a", "b"]), ["a", "shingle"]))
     # Each such shingle is a bucket again: first its most central member against the others, then what is still apart.
-    company = others.withColumn("c", F.count(F.lit(1)).over(shared)).withColumn("cent", F.sum("c").over(Window.partitionBy("a", "b")))
+    shared = Window.partitionBy("a", "shingle")
     order = shared.orderBy(F.desc("cent"), "b")
+    company = others.withColumn("c", F.count(F.lit(1)).over(shared)).withColumn("cent", F.sum("c").over(Window.partitionBy("a", "b")))
     company = company.withColumns({"head": F.first("b").over(order), "head_root": F.first("root").over(order)}).where("root <> head_root")
     heads = company.select(F.col("head").alias("a"), "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
     again = cut(compared(heads, sets).where(is_link).select("a", "b"))
@@ -173,14 +204,12 @@ def linked_groups(keys: DataFrame, sets_of, similarity: tuple[int, int]) -> Data
     if not again.isEmpty():
         roots = components(links)
         fresh = roots.select(F.col("id").alias("b"), F.col("root").alias("new"))
-        others = cut(mixed(others.join(fresh, "b", "left").withColumn("root", F.coalesce("new", "root")).drop("new")))
-    by_shingle = (
-        others.select("a", "shingle", F.col("b").alias("x"), F.col("root").alias("root_x"))
-        .join(others.select("a", "shingle", F.col("b").alias("y"), F.col("root").alias("root_y")), ["a", "shingle"])
-        .where("root_x < root_y")
-        .select("x", "y")
-    )
-    pairs = by_size.unionByName(by_shingle).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        others = cut(mixed(others.join(fresh, "b", "left").withColumn("root", F.coalesce("new", "root")).drop("new"), ["a", "shingle"]))
+    prefix = others.groupBy("a", "b").agg(F.collect_set("shingle").alias("prefix"))
+    x, y = sides(others.join(large.select("a", "b", "sketch"), ["a", "b"]).join(prefix, ["a", "b"]), "shingle", "b", "root", "sketch", "prefix")
+    first = F.array_min(F.array_intersect("prefix_x", "prefix_y")) == F.col("shingle")  # each pair once
+    by_shingle = x.join(y, ["a", "shingle"]).where((F.col("root_x") < F.col("root_y")) & alike & first).select(*pair)
+    pairs = few.unionByName(by_size).unionByName(by_shingle).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = cut(compared(pairs, sets).where(is_link).select("a", "b"))
     return roots if more.isEmpty() else components(links.unionByName(more))
 
@@ -189,7 +218,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     """Per document: doc_id, n_shingles, component_id (smallest id of its group)."""
     spark = docs.sparkSession
     signed = cut(signatures(docs, words, halves, per_half))
-    reps = cut(signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.any_value("halves").alias("halves")))
+    reps = cut(signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.any_value("halves").alias("halves"), F.any_value("sketch").alias("sketch")))
     keys = reps.select("id", "halves").mapInArrow(lambda it: _keys(it, halves), "key bigint, id bigint")
 
     def sets_of(ids: DataFrame) -> DataFrame:
@@ -197,7 +226,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
         texts(docs).join(ids.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi").mapInArrow(lambda it: _set_rows(it, words), "id bigint, shingles binary").write.parquet(path)
         return spark.read.parquet(path)
 
-    roots = linked_groups(keys, sets_of, similarity)
+    roots = linked_groups(keys, sets_of, reps.select("id", "sketch"), 2 * halves * per_half, similarity)
     grouped = reps.select("k1", "k2", "id").join(roots, "id", "left").select("k1", "k2", F.coalesce("root", "id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "k1", "k2").join(grouped, ["k1", "k2"], "left")
     return restored(out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "doc_id", "component_id")
