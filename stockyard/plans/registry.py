@@ -1,4 +1,6 @@
 """All queries by name, with the SQL that an independent engine runs on the same tables."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import retail, stock
+
+QUERIES: dict = stock.QUERIES | retail.QUERIES
+ORACLE: dict = stock.ORACLE | retail.ORACLE
