@@ -94,29 +94,40 @@ def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_list("span")).alias("spans"))
 
 
+#: Rows whose texts are rewritten together.
+ROWS = 256
+
+
+def without_runs(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, list[tuple[int, int]]]:
+    """The text without the spans (in lines that hold a word), the lines with a word that went, and the line ranges."""
+    if not spans:
+        return text, 0, []
+    lines = text.split(b"\n")
+    places = [i for i, line in enumerate(lines) if line.split()]
+    gone = np.zeros(len(lines) + 1, bool)
+    for s in spans:
+        a, b = s["line"], min(s["line"] + s["n"], len(places))
+        if a < b:
+            gone[places[a] : places[b - 1] + 1] = True
+    edge = np.diff(np.concatenate([[0], gone.view(np.int8)]))
+    ranges = [(int(a), int(b)) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
+    return b"\n".join([line for line, g in zip(lines, gone, strict=False) if not g]), int(sum(gone[i] for i in places)), ranges
+
+
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        off, data = text_bytes(batch.column(1))
-        out = []
-        for k, spans in enumerate(batch.column(2).to_pylist()):
-            text = data[off[k] : off[k + 1]].tobytes()
-            if not spans:
-                out.append((ids[k], text.decode("utf-8", "replace"), 0, 0, []))
-                continue
-            lines = text.split(b"\n")
-            places = [i for i, line in enumerate(lines) if line.split()]
-            gone = np.zeros(len(lines) + 1, bool)
-            for s in spans:
-                a, b = s["line"], min(s["line"] + s["n"], len(places))
-                if a < b:
-                    gone[places[a] : places[b - 1] + 1] = True
-            edge = np.diff(np.concatenate([[0], gone.view(np.int8)]))
-            cut = [(int(a), int(b)) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
-            kept = b"\n".join([line for line, g in zip(lines, gone, strict=False) if not g])
-            out.append((ids[k], kept.decode("utf-8", "replace"), sum(gone[i] for i in places), len(cut), [{"start": a, "end": b} for a, b in cut]))
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "kept", "n_removed", "n_runs", "removed"])
+        for lo in range(0, batch.num_rows, ROWS):
+            part = batch.slice(lo, ROWS)
+            off, data = text_bytes(part.column(1))
+            kept, rest = [], []
+            for k, spans in enumerate(part.column(2).to_pylist()):
+                text, n, ranges = without_runs(data[off[k] : off[k + 1]].tobytes(), spans)
+                kept.append(text)
+                rest.append((n, len(ranges), [{"start": a, "end": b} for a, b in ranges]))
+            columns = [part.column(0), pa.array(kept, pa.binary()).cast(pa.string())]
+            columns += [pa.array(c, t) for c, t in zip(zip(*rest, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_removed", "n_runs", "removed"])
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -129,21 +140,27 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, text without the repeated runs and n_chars (if there) to match."""
     marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
     found = runs(docs, min_words).withColumnRenamed("doc_id", "_id").withColumnRenamed("spans", "_spans")
-    joined = marked.join(found.hint("merge"), "_id", "left")
-
-    @F.pandas_udf("string")
-    def kept(text, spans):
-        import pandas as pd
-
-        plain = pa.RecordBatch.from_arrays([pa.array([0] * len(text), pa.int64()), pa.array([t or "" for t in text], pa.string()), pa.array([[{"line": int(x["line"]), "n": int(x["n"])} for x in s] if s is not None else None for s in spans], pa.list_(pa.struct([("line", pa.int32()), ("n", pa.int32())])))], names=["a", "b", "c"])
-        return pd.Series(next(_apply(iter([plain]))).column(1).to_pylist())
-
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept("text", F.transform("_spans", lambda s: F.struct(s["line"].alias("line"), s["n"].alias("n")))))
-    new = {"text": text} | ({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    out = joined.withColumn("text", text)
-    if "n_chars" in new:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(new["n_chars"]))
-    return out.select(*docs.columns)
+    names = docs.columns
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                columns, spans = list(part.columns[:-1]), part.column(len(names)).to_pylist()
+                if any(spans):
+                    old = columns[at].to_pylist()
+                    new = pa.array([without_runs(t.encode(), s)[0].decode() if s and t else t for t, s in zip(old, spans, strict=True)], columns[at].type)
+                    columns[at] = new
+                    if chars is not None:
+                        changed = pa.array([bool(s) for s in spans])
+                        columns[chars] = pc.if_else(changed, pc.utf8_length(new).cast(columns[chars].type), columns[chars])
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    joined = marked.join(found.hint("merge"), "_id", "left").select(*names, "_spans")
+    return joined.mapInArrow(rewrite, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, mix, read, restored, slices, text_bytes, texts, word_spans
 
-MAX_LABELLED = 8000
+MAX_LABELLED = 5000
 MAX_FEATURES = 4000
 BIAS = -12.0
 THRESHOLD = 0.7
@@ -118,9 +118,9 @@ def fit_rows(texts_: list[bytes], toxic: np.ndarray) -> Model:
         f = [h for _, h in word_features(head, length)]
         if f:
             u = np.unique(np.concatenate(f))
-            parts.append((u, np.ones(len(u), np.int64), np.full(len(u), int(y))))
+            parts.append((u, np.ones(len(u), np.int32), np.full(len(u), int(y), np.int32)))
             held += len(u)
-        if held > 2_000_000:
+        if held > 500_000:
             parts, held = [merge(*map(np.concatenate, zip(*parts, strict=True)))], 0
     if not parts:
         return empty
