@@ -111,18 +111,19 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _others(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Per member, the prefix of its shingles that the leader lacks of which any link needs one in common."""
+    """Per member, the shingles that the leader lacks, and how many of them make a prefix of which any link needs one in common."""
     for a, own, members in _with_leader(batches):
-        ids, shingles = [], []
+        ids, shingles, keep = [], [], []
         for b, x in members:
             others = np.setdiff1d(x, own, assume_unique=True)
             need = max(1, -(-num * len(x) // den) - (len(x) - len(others)))
-            others = np.sort(mix(others))[: max(0, len(others) - need + 1)]
-            ids.append(np.full(len(others), b))
-            shingles.append(others)
-        ids, shingles = np.concatenate(ids), np.concatenate(shingles)
-        if len(ids):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), a)), pa.array(ids), pa.array(shingles.view(np.int64))], names=["a", "b", "shingle"])
+            if len(others) >= need:
+                ids.append(np.full(len(others), b))
+                shingles.append(others)
+                keep.append(np.full(len(others), len(others) - need + 1))
+        if ids:
+            ids, shingles, keep = np.concatenate(ids), np.concatenate(shingles), np.concatenate(keep)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), a)), pa.array(ids), pa.array(shingles.view(np.int64)), pa.array(keep)], names=["a", "b", "shingle", "keep"])
 
 
 def _by_leader(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -191,10 +192,13 @@ def linked_groups(keys: DataFrame, sets_of, sketch_of: DataFrame, minhashes: int
     large = rest.where(F.col("size") > SMALL)
     x, y = sides(large, "b", "root", "s", "n", "spare", "least", "sketch")
     by_size = x.where(F.col("spare_x") >= num * F.col("least_x")).join(y, "a").where((F.col("root_x") != F.col("root_y")) & (F.col("s_x") <= F.col("s_y")) & (F.col("spare_x") >= num * F.col("n_y")) & alike).select(*pair)
-    others = _by_leader(large.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint")
+    shared = Window.partitionBy("a", "shingle")
+    others = _by_leader(large.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint, keep bigint")
+    # The rarest shingles first: most prefixes then hold none that anyone shares.
+    others = others.withColumn("c", F.count(F.lit(1)).over(shared))
+    others = others.withColumn("k", F.row_number().over(Window.partitionBy("a", "b").orderBy("c", "shingle"))).where("k <= keep AND c > 1").select("a", "b", "shingle")
     others = cut(mixed(others.join(large.select("a", "b", "root"), ["a", "b"]), ["a", "shingle"]))
     # Each such shingle is a bucket again: first its most central member against the others, then what is still apart.
-    shared = Window.partitionBy("a", "shingle")
     order = shared.orderBy(F.desc("cent"), "b")
     company = others.withColumn("c", F.count(F.lit(1)).over(shared)).withColumn("cent", F.sum("c").over(Window.partitionBy("a", "b")))
     company = company.withColumns({"head": F.first("b").over(order), "head_root": F.first("root").over(order)}).where("root <> head_root")
@@ -205,10 +209,8 @@ def linked_groups(keys: DataFrame, sets_of, sketch_of: DataFrame, minhashes: int
         roots = components(links)
         fresh = roots.select(F.col("id").alias("b"), F.col("root").alias("new"))
         others = cut(mixed(others.join(fresh, "b", "left").withColumn("root", F.coalesce("new", "root")).drop("new"), ["a", "shingle"]))
-    prefix = others.groupBy("a", "b").agg(F.collect_set("shingle").alias("prefix"))
-    x, y = sides(others.join(large.select("a", "b", "sketch"), ["a", "b"]).join(prefix, ["a", "b"]), "shingle", "b", "root", "sketch", "prefix")
-    first = F.array_min(F.array_intersect("prefix_x", "prefix_y")) == F.col("shingle")  # each pair once
-    by_shingle = x.join(y, ["a", "shingle"]).where((F.col("root_x") < F.col("root_y")) & alike & first).select(*pair)
+    x, y = sides(others.join(large.select("a", "b", "sketch"), ["a", "b"]), "shingle", "b", "root", "sketch")
+    by_shingle = x.join(y, ["a", "shingle"]).where((F.col("root_x") < F.col("root_y")) & alike).select(*pair)
     pairs = few.unionByName(by_size).unionByName(by_shingle).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = cut(compared(pairs, sets).where(is_link).select("a", "b"))
     return roots if more.isEmpty() else components(links.unionByName(more))

@@ -82,7 +82,9 @@ def measurements(docs: DataFrame) -> DataFrame:
         ),
     )
     covered = "CASE WHEN size(q) = 0 THEN 0 WHEN size(q) = 1 THEN 3 ELSE 3 + aggregate(sequence(1, size(q) - 1), 0, (a, k) -> a + least(3, q[k] - q[k - 1])) END"
-    return restored(df).select("doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.expr(covered).cast("long").alias("n_repeat_words"))
+    # A column that is not deterministic keeps later filters above this point; pushed below, they would repeat the work.
+    repeated = F.when(F.monotonically_increasing_id() >= 0, F.expr(covered)).otherwise(0)
+    return restored(df).select("doc_id", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines", repeated.cast("long").alias("n_repeat_words"))
 
 
 def ledger(docs: DataFrame) -> DataFrame:
