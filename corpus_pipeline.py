@@ -13,17 +13,9 @@ from stockyard.llm import decontaminate, line_dedup, near_dup, packing, toxicity
 from stockyard.llm.common import NO_ID, read, shared_path
 
 
-def _keeping(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The documents whose id has a true `kept`; verdict: doc_id, kept."""
-    good = verdict.where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return marked.join(good.hint("merge"), "_id", "left_semi").select(*docs.columns)
-
-
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under the threshold stay."""
-    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return _keeping(docs, toxicity.score(docs, model).select("doc_id", (F.col("score") < toxicity.THRESHOLD).alias("kept")))
+    return toxicity.clean_documents(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +25,15 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
-    found = near_dup.near_duplicates(docs)
-    return _keeping(docs, found.select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+    found = near_dup.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    good = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
+    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    return marked.join(good.hint("merge"), "_id", "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark item is found go."""
-    found = decontaminate.matches(docs, read(spark, sf_dir, "benchmark"))
-    return _keeping(docs, found.select("doc_id", (F.size("item_ids") == 0).alias("kept")))
+    return decontaminate.clean_documents(docs, read(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

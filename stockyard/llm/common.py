@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +122,23 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(np.add.reduceat(values, first) ^ lengths.astype(np.uint64))
 
 
+def keep_rows(docs: DataFrame, verdicts: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Array]]) -> DataFrame:
+    """The rows whose text passes, with all columns and without a shuffle; each row is judged by itself.
+
+    verdicts: batches of (row number, text) to booleans in the same order.
+    """
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                text = batch.column(at).fill_null("") if batch.column(at).null_count else batch.column(at)
+                pair = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), text], names=["doc_id", "text"])
+                yield batch.filter(pa.concat_arrays(list(verdicts(iter([pair])))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def tokenizer_file(name: str) -> str:
     """A tokenizer file given by path, or by its name in the public_tokenizers package."""
     if os.path.exists(name):

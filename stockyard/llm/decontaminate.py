@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, read, restored, slices, text_bytes, texts, word_hashes, word_spans
+from .common import LOWER, NO_ID, keep_rows, mix, read, restored, slices, text_bytes, texts, word_hashes, word_spans
 from .license_scan import GAPS
 
 WORDS_PER_ERROR = 8
@@ -146,18 +146,28 @@ def _search(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.list_(pa.int64())), pa.array([r[2] for r in out], pa.int64())], names=["doc_id", "item_ids", "distance"])
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document: doc_id, item_ids (sorted, of the items found in it), distance (least word edits, null without an item)."""
-    rows = texts(docs)
-    items = texts(benchmark, "item_id").where("doc_id <> -9223372036854775808")
+def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
+    """The benchmark in blocks of about BLOCK_ITEMS items, each small enough for every task."""
+    items = texts(benchmark, "item_id").where(F.col("doc_id") != NO_ID)
     n_blocks = max(1, -(-items.count() // BLOCK_ITEMS))
-    parts = []
     for block in range(n_blocks):
         held = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)) == block).distinct().collect()
         pairs = [(r["doc_id"], w) for r in held if len(w := hashed_words(r["text"].encode())) >= MIN_WORDS]
-        pieces = Items([i for i, _ in pairs], [w for _, w in pairs])
-        parts.append(rows.mapInArrow(lambda it, pieces=pieces: _search(it, pieces), "doc_id bigint, item_ids array<bigint>, distance bigint"))
-    if n_blocks == 1:
+        yield Items([i for i, _ in pairs], [w for _, w in pairs])
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents with all their columns in which no item is found."""
+    for items in item_blocks(benchmark):
+        docs = keep_rows(docs, lambda it, items=items: (pa.array([not x for x in b.column(1).to_pylist()], pa.bool_()) for b in _search(it, items)))
+    return docs
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per document: doc_id, item_ids (sorted, of the items found in it), distance (least word edits, null without an item)."""
+    rows = texts(docs)
+    parts = [rows.mapInArrow(lambda it, items=items: _search(it, items), "doc_id bigint, item_ids array<bigint>, distance bigint") for items in item_blocks(benchmark)]
+    if len(parts) == 1:
         return restored(parts[0])
     tagged = [p.withColumn("row", F.monotonically_increasing_id()) for p in parts]  # the same row order in each block
     every = tagged[0]

@@ -55,12 +55,11 @@ def anchors(data: np.ndarray, bounds: np.ndarray, threshold: int) -> tuple[np.nd
     bits = np.uint64(max(21, int(len(data)).bit_length()))
     keys = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
     least = (sliding_min(keys, threshold - GRAM + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    ok = np.ones(len(least) + threshold, np.int8)
-    for back in (bounds[1:-1],):  # no window starts in the last threshold - 1 bytes of a text
-        change = np.zeros(len(data) + 1, np.int32)
-        np.add.at(change, np.maximum(np.maximum(back - threshold + 1, bounds[:-2]), 0), 1)
-        np.add.at(change, back, -1)
-        ok = np.cumsum(change)[: len(least)] == 0
+    # No window starts in the last threshold - 1 bytes of a text.
+    change = np.zeros(len(data) + 1, np.int32)
+    np.add.at(change, np.maximum(bounds[1:] - threshold + 1, bounds[:-1]), 1)
+    np.add.at(change, bounds[1:], -1)
+    ok = np.cumsum(change)[: len(least)] == 0
     starts = np.flatnonzero(ok)
     if not len(starts):
         return grams, empty, empty, empty

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, read, restored, slices, text_bytes, texts, word_spans
+from .common import LOWER, keep_rows, mix, read, restored, slices, text_bytes, texts, word_spans
 
 MAX_LABELLED = 5000
 MAX_FEATURES = 4000
@@ -217,6 +217,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return restored(out)
 
 
+def clean_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with all their columns that score under the threshold."""
+    return keep_rows(docs, lambda it: (pa.array(b.column(1).to_numpy() < threshold) for b in _score(it, model)))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = score(docs, fit(docs, read(spark, sf_dir, "labels")))
