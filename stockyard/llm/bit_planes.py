@@ -129,6 +129,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, block: int, mode:
             if len(rows) >= 16:
                 yield pa.RecordBatch.from_pylist(rows, schema)
                 rows = []
+    enc.forget()
     if held:
         rows.append(block_row(len(held) // 4))
     if rows:

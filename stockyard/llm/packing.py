@@ -141,6 +141,7 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, size: int, schema:
             held += tokens
             if len(held) >= 4 * WINDOW:
                 yield batch_of(flush(False))
+    enc.forget()
     if held:
         yield batch_of(flush(True))
 

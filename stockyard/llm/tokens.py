@@ -45,6 +45,10 @@ class WordEncoder:
             self._plain(w.encode()) == self._full([w.encode()])[0] for w in ("Word", "éÀüß", "word,", "Été.%%", "a", "X-", "naïve...", "won)*")
         )
 
+    def forget(self) -> None:
+        """Free the cache, at the end of a task: workers stay, and other tasks need their memory."""
+        self.cache = {}
+
     def _ids(self, piece: bytes) -> bytes:
         ids = self.cache.get(piece)
         if ids is None:
