@@ -43,6 +43,8 @@ PER_HALF = 3
 SMALL = 64
 #: Members that are compared with one leader in one task.
 GROUP = 1000
+#: Shingles of one leader's members that a task holds to drop those without company.
+HELD = 2_000_000
 
 SIGNATURES = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, halves array<bigint>, sketch array<bigint>"
 _SALT = np.uint64(0xA0761D6478BD642F)
@@ -87,52 +89,83 @@ def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), blobs.cast(pa.binary())], names=["id", "shingles"])
 
 
-def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, list[tuple[int, np.ndarray]]]]:
-    """Rows sorted by (leader, part, member), the leader's own row (member null) first, to members with their leader's set."""
-    leader, own = None, np.zeros(0, np.uint64)
+def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, list[tuple]]]:
+    """Rows sorted by (leader, part, member), the leader's own row (member null) first, to members with their leader's set.
+
+    Each is (leader, its number of parts, its set, members as (id, set, other columns)).
+    """
+    leader, parts, own = None, 1, np.zeros(0, np.uint64)
     for batch in batches:
-        members: list[tuple[int, np.ndarray]] = []
-        for a, b, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+        members: list[tuple] = []
+        others = [batch.column(k).to_pylist() for k in range(5, batch.num_columns)]
+        for a, b, blob, n, *more in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), *others, strict=True):
             shingles = np.frombuffer(blob.as_buffer(), "<u8")
             if b is None:
                 if members:
-                    yield leader, own, members
-                leader, own, members = a, shingles, []
+                    yield leader, parts, own, members
+                leader, parts, own, members = a, n, shingles, []
             else:
-                members.append((b, shingles))
+                members.append((b, shingles, *more))
         if members:
-            yield leader, own, members
+            yield leader, parts, own, members
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for a, own, members in _with_leader(batches):
+    for a, _, own, members in _with_leader(batches):
         out = [(a, b, len(np.intersect1d(own, x, assume_unique=True)), len(own), len(x)) for b, x in members]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "both", "n_a", "n_b"])
 
 
-def _others(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Per member, the prefix of its shingles that the leader lacks of which any link needs one in common."""
-    for a, own, members in _with_leader(batches):
-        ids, shingles = [], []
-        for b, x in members:
+def _others(batches: Iterator[pa.RecordBatch], num: int, den: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Per member, the prefix of its shingles that the leader lacks of which any link needs one in common.
+
+    Where a leader has one part, shingles that no two roots of it share are left out here already, unless the part holds
+    more than `most` of them; they are left out after the shuffle in any case.
+    """
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def rows(whole: bool) -> Iterator[pa.RecordBatch]:
+        ids, shingles, roots = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()
+        if whole:
+            order = np.lexsort((roots, shingles))
+            by_shingle, by_root = shingles[order], roots[order]
+            keep = by_root[np.searchsorted(by_shingle, shingles)] < by_root[np.searchsorted(by_shingle, shingles, "right") - 1]
+            ids, shingles, roots = ids[keep], shingles[keep], roots[keep]
+        if len(ids):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), leader)), pa.array(ids), pa.array(shingles.view(np.int64)), pa.array(roots)], names=["a", "b", "shingle", "root"])
+
+    leader, whole, size = None, False, 0
+    for a, parts, own, members in _with_leader(batches):
+        if a != leader:
+            if held:
+                yield from rows(whole)
+            leader, whole, size = a, parts == 1, 0
+        for b, x, root in members:
             others = np.setdiff1d(x, own, assume_unique=True)
             need = max(1, -(-num * len(x) // den) - (len(x) - len(others)))
             others = np.sort(mix(others))[: max(0, len(others) - need + 1)]
-            ids.append(np.full(len(others), b))
-            shingles.append(others)
-        ids, shingles = np.concatenate(ids), np.concatenate(shingles)
-        if len(ids):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), a)), pa.array(ids), pa.array(shingles.view(np.int64))], names=["a", "b", "shingle"])
+            held.append((np.full(len(others), b), others, np.full(len(others), root)))
+            size += len(others)
+            if size > most:  # from here on, rows of this leader leave as they are
+                whole, size = False, 0
+                yield from rows(whole)
+    if held:
+        yield from rows(whole)
 
 
 def _by_leader(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) to the sets of each a and its b, ordered for _with_leader. The members of a large leader are split."""
+    """(a, b) to the sets of each a and its b, ordered for _with_leader. The members of a large leader are split.
+
+    Other columns of the pairs stay with their members.
+    """
+    more = [c for c in pairs.columns if c not in ("a", "b")]
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     parts = F.ceil(F.col("n") / GROUP).cast("int")
-    pairs = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
-    members = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "shingles")
-    leaders = counts.join(sets.withColumnRenamed("id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "shingles")
-    return members.unionByName(leaders).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    pairs = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"), parts.alias("parts"), *more)
+    members = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "shingles", "parts", *more)
+    leaders = counts.join(sets.withColumnRenamed("id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "shingles", parts.alias("parts"))
+    return members.unionByName(leaders, allowMissingColumns=True).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -192,8 +225,8 @@ def linked_groups(keys: DataFrame, sets_of, sketch_of: DataFrame, minhashes: int
     x, y = sides(large, "b", "root", "s", "n", "spare", "least", "sketch")
     by_size = x.where(F.col("spare_x") >= num * F.col("least_x")).join(y, "a").where((F.col("root_x") != F.col("root_y")) & (F.col("s_x") <= F.col("s_y")) & (F.col("spare_x") >= num * F.col("n_y")) & alike).select(*pair)
     shared = Window.partitionBy("a", "shingle")
-    others = _by_leader(large.select("a", "b"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint")
-    others = cut(mixed(others.join(large.select("a", "b", "root"), ["a", "b"]), ["a", "shingle"]))
+    others = _by_leader(large.select("a", "b", "root"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint, root bigint")
+    others = cut(mixed(others, ["a", "shingle"]))
     # Each such shingle is a bucket again: first its most central member against the others, then what is still apart.
     order = shared.orderBy(F.desc("cent"), "b")
     company = others.withColumn("c", F.count(F.lit(1)).over(shared)).withColumn("cent", F.sum("c").over(Window.partitionBy("a", "b")))
