@@ -207,9 +207,9 @@ def linked_groups(keys: DataFrame, sets_of, sketch_of: DataFrame, minhashes: int
         w = Window.partitionBy(*by)
         return df.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w)}).where("low < high").drop("low", "high")
 
-    group = Window.partitionBy("a")
     rest = stars.join(roots.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"), F.col("both").alias("s"), F.col("n_b").alias("n"))
-    rest = mixed(rest, ["a"]).withColumns({"least": F.min("n").over(group), "size": F.count(F.lit(1)).over(group), "spare": F.col("s") * (num + den) - F.col("n") * num})
+    groups = rest.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least"), F.count(F.lit(1)).alias("size"))
+    rest = rest.join(groups.where("low < high").drop("low", "high"), "a").withColumn("spare", F.col("s") * (num + den) - F.col("n") * num)
     rest = cut(rest.join(sketch_of.withColumnRenamed("id", "b"), "b"))
 
     def sides(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
