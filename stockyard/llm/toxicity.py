@@ -1,14 +1,15 @@
 """Toxicity by multiple-instance learning: documents are bags of sentences, joined by noisy-or.
 
-A sentence's score is the logistic of a fixed negative bias plus the weights of its words' features; a document is
-toxic if any sentence is: score = 1 - prod(1 - sentence score). Only documents have labels. Features are the first 4
+A sentence's score is the logistic of a fixed negative bias plus the weights of its words' features, and 0 if it has none
+of the model's features, so length alone is no evidence; a document is toxic if any sentence is:
+score = 1 - prod(1 - sentence score). Only documents have labels. Features are the first 4
 to 8 bytes of a word in lower case (A-Z) and whole words of up to 8 bytes, by 64-bit hash. The fit takes the labelled
 rows whose crc32(doc_id as text) mod 3 is not 1, at most MAX_LABELLED of them in the order of a hash of their id; it
 keeps the features that a likelihood-ratio test finds in toxic documents and maximises the noisy-or likelihood over
 their weights. Scoring covers every text whole; the model is at most MAX_FEATURES hashes and weights.
 
 Labels, lang, source and doc_id are no inputs of a score. A null or empty text has no sentence and scores 0. Without
-labels of both kinds no feature is kept and scores stay near 0. Repeated labels of an id count as toxic if any is; null
+labels of both kinds no feature is kept and scores are 0. Repeated labels of an id count as toxic if any is; null
 labels are ignored. Repeated rows are scored each; extra columns are ignored; empty tables give empty results.
 """
 
@@ -92,9 +93,9 @@ def sentences(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> tuple
 
 
 def noisy_or(weights: np.ndarray, feature: np.ndarray, sentence: np.ndarray, n_sentences: int) -> np.ndarray:
-    """log(1 - sentence score), per sentence."""
+    """log(1 - sentence score), per sentence; 0 for a sentence without a feature."""
     z = BIAS + np.bincount(sentence, weights=weights[feature], minlength=n_sentences)
-    return -np.logaddexp(0.0, z)
+    return np.where(np.bincount(sentence, minlength=n_sentences) > 0, -np.logaddexp(0.0, z), 0.0)
 
 
 def fit_rows(texts_: list[bytes], toxic: np.ndarray) -> Model:
@@ -133,12 +134,12 @@ def fit_rows(texts_: list[bytes], toxic: np.ndarray) -> Model:
     model = Model(np.sort(hashes[good]), np.zeros(len(good)))
     if not len(good):
         return model
-    feature, sentence, doc_of, rest = [], [], [], np.zeros(len(texts_))
+    feature, sentence, doc_of = [], [], []
     for k, text in enumerate(texts_):
         data = np.frombuffer(text, np.uint8)
         bounds = np.array([0, len(data)])
         starts, head, length = words_of(data, bounds)
-        number, firsts = sentences(data, bounds, starts)
+        number, _ = sentences(data, bounds, starts)
         mine = [(model.of(h), w) for w, h in word_features(head, length)]
         f = np.concatenate([a for a, _ in mine]) if mine else np.zeros(0, np.int64)
         s = number[np.concatenate([w for _, w in mine])] if mine else f
@@ -147,14 +148,12 @@ def fit_rows(texts_: list[bytes], toxic: np.ndarray) -> Model:
         feature.append(pairs[1])
         sentence.append(local + len(doc_of))
         doc_of += [k] * len(some)
-        rest[k] = len(firsts) - len(some)
     feature, sentence, doc_of = np.concatenate(feature).astype(int), np.concatenate(sentence).astype(int), np.array(doc_of, int)
     weights, m, v = np.full(len(good), 2.0), np.zeros(len(good)), np.zeros(len(good))
-    floor = -np.logaddexp(0.0, BIAS) * rest
     for step in range(1, 301):  # Adam on the log-likelihood of the bags, with a small ridge
         z = BIAS + np.bincount(sentence, weights=weights[feature], minlength=len(doc_of))
         p = 1 / (1 + np.exp(-z))
-        log_none = floor + np.bincount(doc_of, weights=-np.logaddexp(0.0, z), minlength=len(texts_))
+        log_none = np.bincount(doc_of, weights=-np.logaddexp(0.0, z), minlength=len(texts_))
         none = np.exp(log_none)
         pull = np.where(toxic == 1, none / np.maximum(1 - none, 1e-6), -1.0)
         grad = np.bincount(feature, weights=(pull[doc_of] * p)[sentence], minlength=len(good)) - 0.02 * weights

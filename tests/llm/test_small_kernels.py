@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -135,6 +136,18 @@ def test_toxicity_fit_finds_words_and_sentences():
     assert len(toxicity.fit_rows([b"a b"], np.array([1])).hashes) == 0
 
 
+def test_toxicity_of_a_clean_text_does_not_grow_with_its_length():
+    model = toxicity.Model(np.sort(np.concatenate([h for _, h in toxicity.word_features(*toxicity.words_of(np.frombuffer(b"moronic", np.uint8), np.array([0, 7]))[1:])])), np.full(5, 4.0))
+    texts = ["word\n" * 300_000, "3.14 " * 150_000, "word\n" * 300_000 + "a moronic line", "", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array([t or "" for t in texts])], names=["doc_id", "text"])
+    rows = [r for out in toxicity._score(iter([batch]), model) for r in out.to_pylist()]
+    assert [r["score"] for r in rows] == [0.0, 0.0, pytest.approx(1 / (1 + np.exp(-8.0))), 0.0, 0.0]
+    assert [len(r["offending"]) for r in rows] == [0, 0, 1, 0, 0]
+    long = [b"word\n" * 300_000 + (b"a moronic line" if y else b"") for y in (1, 1, 1, 1, 0, 0, 0, 0)]
+    short = [b"some words here" for _ in range(40)]
+    assert toxicity.fit_rows(long + short, np.array([1] * 4 + [0] * 44)).weights.max() > 1
+
+
 def test_warc_records_link_and_parse():
     data = warc.response(7, "http://a.example/\r\nx", "<title>T &amp; t</title><p>One<br>two<script>no</script></p><!-- c --><a href='/x'>l</a>")
     headers, block = warc.parse(data)
