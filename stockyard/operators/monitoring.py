@@ -34,8 +34,9 @@ def top_movers(events: DataFrame, key: str, quantity: str, top: int) -> DataFram
     return events.groupBy(key).agg(F.round(F.sum(F.abs(quantity)), 2).alias("moved"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("moved"), key).limit(top)
 
 
-def missing_days(events: DataFrame, ts: str) -> DataFrame:
-    """Days between the first and the last event that have none."""
-    days = events.select(F.to_date(ts).alias("day")).distinct()
-    every = days.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
-    return every.join(days, "day", "left_anti")
+def missing_days(events: DataFrame, ts: str, *keys: str) -> DataFrame:
+    """Days between the first and the last event that have none; with keys, per key (null is a key)."""
+    days = events.select(*keys, F.to_date(ts).alias("day")).distinct()
+    every = days.groupBy(*keys).agg(F.min("day").alias("a"), F.max("day").alias("b")).select(*keys, F.explode(F.sequence("a", "b")).alias("day"))
+    same = [F.col(f"every.{c}").eqNullSafe(F.col(f"days.{c}")) for c in (*keys, "day")]
+    return every.alias("every").join(days.alias("days"), same, "left_anti")

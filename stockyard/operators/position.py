@@ -87,3 +87,20 @@ def register_table_function(spark: SparkSession, name: str, snapshots_view: str,
             WHERE wh_id = wh AND ts <= at AND ts > coalesce((SELECT t FROM base), TIMESTAMP_NTZ '1900-01-01 00:00:00'))
         SELECT {k}, sum(quantity) AS quantity FROM parts GROUP BY {k} HAVING abs(sum(quantity)) > 1e-9
     """)
+
+
+def register_all_function(spark: SparkSession, name: str, snapshots_view: str, events_view: str, keys: list[str], quantity: str) -> None:
+    """The same for all warehouses at once, name(at) with wh_id before the keys: each counts from its own latest snapshot."""
+    k = ", ".join(keys)
+    kinds = {f.name: f.dataType.simpleString() for f in spark.table(events_view).schema}
+    returns = ", ".join([*(f"{c} {kinds[c]}" for c in ("wh_id", *keys)), "quantity DOUBLE"])
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(at TIMESTAMP_NTZ) RETURNS TABLE ({returns}) RETURN
+        WITH base AS (SELECT wh_id AS wh, max(snapshot_ts) AS t FROM {snapshots_view} WHERE snapshot_ts <= at GROUP BY wh_id),
+        parts AS (
+            SELECT wh_id, {k}, quantity FROM {snapshots_view} JOIN base ON wh_id <=> wh AND snapshot_ts = t
+            UNION ALL
+            SELECT wh_id, {k}, CAST({quantity} AS DOUBLE) FROM {events_view} LEFT JOIN base ON wh_id <=> wh
+            WHERE ts <= at AND ts > coalesce(t, TIMESTAMP_NTZ '1900-01-01 00:00:00'))
+        SELECT wh_id, {k}, sum(quantity) AS quantity FROM parts GROUP BY wh_id, {k} HAVING abs(sum(quantity)) > 1e-9
+    """)

@@ -79,30 +79,41 @@ _NODE = """node AS (SELECT l_partkey AS sku_id, l_suppkey AS node_id, CASE WHEN
   master AS (SELECT p_partkey AS sku_id, p_brand AS product_id, CAST(p_size AS DOUBLE) AS size, p_name AS name, p_size % 2 = 0 AS active FROM part)"""
 
 
-def _override_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+#: Every part's own overrides, and sites that override products by a rule on values.
+_WHOLE = _NODE.replace("WHERE l_partkey % 3 = 0 ", "").replace("s_suppkey % 7 = 0)", "s_acctbal < 3000)")
+
+
+def _override_tables(spark: SparkSession, sf_dir: str, own: str = "l_partkey % 3 = 0", overriding: str = "s_suppkey % 7 = 0") -> tuple[DataFrame, DataFrame, DataFrame]:
     part, lines, supplier = _t(spark, sf_dir, "part", "lineitem", "supplier")
-    node = lines.where("l_partkey % 3 = 0").groupBy(F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("node_id")).agg(
+    node = lines.where(own).groupBy(F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("node_id")).agg(
         F.when(F.max("l_quantity") > 25, F.max("l_quantity")).alias("size"), F.max("l_returnflag").alias("name"), F.when(F.min("l_tax") < 0.04, F.lit(True)).alias("active")
     )
-    sites = supplier.where("s_suppkey % 7 = 0").select(F.col("s_suppkey").alias("node_id"), (F.col("s_suppkey") % 2 == 0).alias("active"))
+    sites = supplier.where(overriding).select(F.col("s_suppkey").alias("node_id"), (F.col("s_suppkey") % 2 == 0).alias("active"))
     product_node = part.select(F.col("p_brand").alias("product_id")).distinct().crossJoin(sites)  # brands x few sites
     master = part.select(F.col("p_partkey").alias("sku_id"), F.col("p_brand").alias("product_id"), F.col("p_size").cast("double").alias("size"), F.col("p_name").alias("name"), (F.col("p_size") % 2 == 0).alias("active"))
     return node, product_node, master
 
 
-@query(
-    f"""WITH {_NODE}
-    SELECT n.sku_id, n.node_id, coalesce(n.size, m.size) AS size, coalesce(n.name, m.name) AS name, coalesce(n.active, p.active, m.active) AS active, 'sku' AS level
+_OVERRIDES = """SELECT n.sku_id, n.node_id, coalesce(n.size, m.size) AS size, coalesce(n.name, m.name) AS name, coalesce(n.active, p.active, m.active) AS active, 'sku' AS level
     FROM node n JOIN master m USING (sku_id) LEFT JOIN pnode p ON p.product_id = m.product_id AND p.node_id = n.node_id
     UNION ALL
     SELECT m.sku_id, p.node_id, m.size, m.name, coalesce(p.active, m.active), 'product' FROM pnode p JOIN master m USING (product_id)
     WHERE NOT EXISTS (SELECT 1 FROM node n WHERE n.sku_id = m.sku_id AND n.node_id = p.node_id)"""
-)
+
+
+@query(f"WITH {_NODE}\n    {_OVERRIDES}")
 def sku_overrides_union_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     node, product_node, master = _override_tables(spark, sf_dir)
     return masters.sku_overrides(node, product_node, master, {"size": T.DoubleType(), "name": T.StringType()})
 
 
+@query(f"WITH {_WHOLE}\n    {_OVERRIDES}")
+def sku_overrides_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the overrides of all parts; each site may override products, those of a low balance do."""
+    node, product_node, master = _override_tables(spark, sf_dir, "true", "s_acctbal < 3000")
+    return masters.sku_overrides(node, product_node, master, {"size": T.DoubleType(), "name": T.StringType()})
+
+
 _COMBINED = """SELECT m.sku_id, {site} AS node_id, m.product_id, if(o.size IS NOT NULL AND o.size <> 0, o.size, m.size) AS size, if(o.name IS NOT NULL AND o.name <> '', o.name, m.name) AS name,
     m.active OR o.sku_id IS NOT NULL AS active, o.sku_id IS NOT NULL AS has_override"""
 
@@ -131,6 +142,24 @@ def sku_combined_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {_WHOLE}
+    SELECT CAST(s.s_suppkey AS BIGINT) AS node, m.sku_id, if(o.size IS NOT NULL AND o.size <> 0, o.size, m.size) AS size, if(o.name IS NOT NULL AND o.name <> '', o.name, m.name) AS name, o.sku_id IS NOT NULL AS has_override
+    FROM supplier s CROSS JOIN master m LEFT JOIN (SELECT * FROM node WHERE active) o ON o.sku_id = m.sku_id AND o.node_id = s.s_suppkey WHERE m.active OR o.sku_id IS NOT NULL"""
+)
+def sku_combined_all_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view of every site, with the overrides of all parts."""
+    node, _, master = _override_tables(spark, sf_dir, "true")
+    node.createOrReplaceTempView("tf_all_overrides")
+    master.createOrReplaceTempView("tf_all_master")
+    read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("node")).createOrReplaceTempView("tf_all_sites")
+    masters.register_override(spark, "any_override_of", "tf_all_overrides", ["size", "name"])
+    return spark.sql(
+        "SELECT s.node, m.sku_id, if(o.size IS NOT NULL AND o.size <> 0, o.size, m.size) AS size, if(o.name IS NOT NULL AND o.name <> '', o.name, m.name) AS name, o.sku_id IS NOT NULL AS has_override "
+        "FROM tf_all_sites s CROSS JOIN tf_all_master m LEFT JOIN LATERAL any_override_of(m.sku_id, s.node) o WHERE m.active OR o.sku_id IS NOT NULL"
+    )
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_extendedprice, coalesce(nullif(if(l_returnflag = 'N', '', l_returnflag), ''), p.p_type) AS kind, if(l_discount <> 0, l_discount, CAST(p.p_size AS DOUBLE)) AS rate FROM lineitem JOIN part p ON l_partkey = p_partkey")
 def override_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, part = _t(spark, sf_dir, "lineitem", "part")

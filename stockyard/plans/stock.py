@@ -85,6 +85,17 @@ def position_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT event_type, round(quantity, 2) AS quantity FROM stock_at(3, TIMESTAMP_NTZ '{TARGET}')")
 
 
+@query(
+    f"""SELECT user_id % 10 AS wh_id, event_type, round(sum({SIGNED}), 2) AS quantity FROM events WHERE ts <= TIMESTAMP '{TARGET}'
+    GROUP BY ALL HAVING abs(sum({SIGNED})) > 1e-9"""
+)
+def position_all_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position of every warehouse, from its own latest snapshot."""
+    position_table_function(spark, sf_dir)  # makes the views
+    position.register_all_function(spark, "stock_of_all", "tf_snapshots", "tf_events", ["event_type"], "qty")
+    return spark.sql(f"SELECT wh_id, event_type, round(quantity, 2) AS quantity FROM stock_of_all(TIMESTAMP_NTZ '{TARGET}')")
+
+
 @query(
     f"""WITH due AS (SELECT unnest(generate_series(date_trunc('day', min(ts)), max(ts), INTERVAL 12 HOUR)) AS snapshot_ts FROM events)
     SELECT snapshot_ts FROM due WHERE snapshot_ts NOT IN (SELECT DISTINCT date_trunc('day', ts) FROM events WHERE ts < TIMESTAMP '{SNAP}')"""
@@ -131,6 +142,14 @@ def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.missing_days(_events(spark, sf_dir).where("user_id = 7"), "ts")
 
 
+@query(
+    """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events), e AS (SELECT user_id, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM d GROUP BY user_id)
+    SELECT user_id, day FROM e WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.user_id IS NOT DISTINCT FROM e.user_id AND d.day = e.day)"""
+)
+def missing_days_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.missing_days(_events(spark, sf_dir), "ts", "user_id")
+
+
 _LINE = "l_orderkey, l_linenumber"
 _VERSION = "l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus"
 

@@ -35,3 +35,13 @@ def test_query_equals_oracle(spark, sf_dir, duck, name):
     assert sorted(map(str, got)) == sorted(map(str, want))
     kinds = dict(duck.execute(f"SELECT column_name, column_type FROM (DESCRIBE {registry.ORACLE[name]})").fetchall())
     assert {c: KINDS.get(k, k) for c, k in df.dtypes} == kinds
+
+
+def test_whole_queries_reach_every_id(spark, sf_dir, duck):
+    ids = lambda sql: {r[0] for r in duck.execute(sql).fetchall()}
+    got = lambda name, c: {r[0] for r in registry.QUERIES[name](spark, sf_dir).select(c).distinct().collect()}
+    assert got("sku_overrides_all", "sku_id") == ids("SELECT p_partkey FROM part")
+    assert got("sku_overrides_all", "level") == {"sku", "product"}
+    assert got("sku_combined_all_sites", "node") == ids("SELECT s_suppkey FROM supplier")
+    assert got("position_all_warehouses", "wh_id") == ids("SELECT user_id % 10 FROM events")
+    assert len(got("missing_days_by_user", "user_id")) > 1
