@@ -1,11 +1,13 @@
 """Removal of repeated runs of lines by winnowing over line hashes.
 
 Lines are compared without surrounding white space; lines without a word are skipped. A window is the shortest run of
-lines from a place on that holds MIN_WORDS words, so a long line is a window of its own and short lines need company.
-Each window selects its least line hash as fingerprint: texts that share a window share the fingerprint. Fingerprints
-with equal windows are joined by their positions with the first occurrence (smallest doc_id, then line), matches are
-extended along the lines that follow in both texts (to the left, every line of a match starts a window that matches
-too), and all runs but the first are deleted. Short repeated lines alone stay.
+lines that holds MIN_WORDS words and starts, or ends, at a line, so a long line is a window of its own and short lines
+need company. Each window selects its least line hash as fingerprint: texts that share a window share the fingerprint.
+Fingerprints with equal windows are joined with the first occurrence (smallest doc_id, then line), and all windows but
+the first are deleted. Of any run with MIN_WORDS words that stands at an earlier place too, this deletes every line: the
+lines up to the end of the window that starts the run are in it, and at each later line a window of the run ends. So a
+run is held against all earlier places, not against one partner. Short repeated lines alone stay, and so do lines
+without a word between two lines that are windows of their own.
 
 A null or empty text has no lines; a null id is the smallest id. Rows that repeat an id with the same text are one
 document given twice. A text without removals is returned as it is; extra columns are ignored by `runs` and kept by
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from .common import NO_ID, read, restored, text_bytes, texts
 MIN_WORDS = 20
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-WINDOWS = "fp bigint, window bigint, doc_id bigint, line int, n int, tail array<bigint>"
+WINDOWS = "fp bigint, window bigint, doc_id bigint, line int, n int"
 
 
 def line_hashes(text: bytes) -> tuple[list[int], list[int], list[int]]:
@@ -45,16 +48,21 @@ def line_hashes(text: bytes) -> tuple[list[int], list[int], list[int]]:
 
 
 def windows(hashes: list[int], counts: list[int], min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int]]:
-    """(first line, lines, fingerprint) of each window."""
-    end, held = 0, 0
+    """(first line, lines, fingerprint) of each window, once: those by first line, then those that only end at a line."""
+    total, ends, end = [0, *accumulate(counts)], [], 0
     for i in range(len(hashes)):
-        while end < len(hashes) and held < min_words:
-            held += counts[end]
+        while end < len(hashes) and total[end] - total[i] < min_words:
             end += 1
-        if held < min_words:
-            return
+        if total[end] - total[i] < min_words:
+            break
+        ends.append(end)
         yield i, end - i, min(hashes[i:end])
-        held -= counts[i]
+    i = 0
+    for end in range(ends[0] if ends else len(total), len(total)):
+        while total[end] - total[i + 1] >= min_words:
+            i += 1
+        if ends[i] != end:
+            yield i, end - i, min(hashes[i:end])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
@@ -68,29 +76,22 @@ def _window_rows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[
             _, hashes, counts = line_hashes(data[off[k] : off[k + 1]].tobytes())
             raw = np.array(hashes, np.int64)
             for i, n, fp in windows(hashes, counts, min_words):
-                tail, room = i + n, 0
-                while tail < len(hashes) and room + counts[tail] < min_words:
-                    room += counts[tail]
-                    tail += 1
-                out.append((fp, xxhash.xxh3_64_intdigest(raw[i : i + n].tobytes(), seed=n) - 2**63, doc_id, i, n, hashes[i + n : tail]))
+                out.append((fp, xxhash.xxh3_64_intdigest(raw[i : i + n].tobytes(), seed=n) - 2**63, doc_id, i, n))
         if out:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["fp", "window", "doc_id", "line", "n", "tail"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["fp", "window", "doc_id", "line", "n"])
 
 
 def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id and spans (array of line, n, source, source_line): matches with an earlier run, in lines that hold a word."""
+    """doc_id and spans (array of line, n, source, source_line): windows that stand at an earlier place too, in lines that hold a word."""
     rows = texts(docs).mapInArrow(lambda it: _window_rows(it, min_words), WINDOWS)
     first = (
         rows.groupBy("fp", "window")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "line", "tail")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "line")).alias("first"))
         .where("times > 1")
     )
     met = rows.join(first, ["fp", "window"]).where("doc_id <> first.doc_id OR line <> first.line")
-    # Lines after the window that both texts have.
-    along = F.zip_with("tail", "first.tail", lambda x, y: F.coalesce(x == y, F.lit(False)))
-    more = F.coalesce(F.nullif(F.array_position(along, False), F.lit(0)) - 1, F.size(along)).cast("int")
-    found = met.select("doc_id", F.struct("line", (F.col("n") + more).alias("n"), F.col("first.doc_id").alias("source"), F.col("first.line").alias("source_line")).alias("span"))
+    found = met.select("doc_id", F.struct("line", "n", F.col("first.doc_id").alias("source"), F.col("first.line").alias("source_line")).alias("span"))
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_list("span")).alias("spans"))
 
 
@@ -169,28 +170,25 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brute_force(docs: list[tuple[int, str | None]], min_words: int = MIN_WORDS) -> dict[int, str]:
-    """The kept texts by comparing line lists directly, for tests."""
+    """The kept texts by comparing every line with all earlier places along both texts, for tests."""
     every = {i: [(k, x.strip(" \t\n\v\f\r"), len(x.split())) for k, x in enumerate((t or "").split("\n")) if re.search(r"[^ \t-\r]", x)] for i, t in docs}
-    first: dict[tuple, tuple[int, int]] = {}
+    places: dict[str, list[tuple[int, int]]] = {}
     out = {}
-    for i, text in sorted(docs):
+    for i, text in sorted(dict(docs).items()):
         lines, gone = every[i], set()
         for a in range(len(lines)):
-            b, held = a, 0
-            while b < len(lines) and held < min_words:
-                held += lines[b][2]
-                b += 1
-            if held < min_words:
-                break
-            key = tuple(x[1] for x in lines[a:b])
-            if key not in first:
-                first[key] = (i, a)
-                continue
-            j, c = first[key]
-            d, room = c + b - a, 0
-            while b < len(lines) and d < len(every[j]) and lines[b][1] == every[j][d][1] and room + lines[b][2] < min_words:
-                room += lines[b][2]
-                b, d = b + 1, d + 1
-            gone |= set(range(lines[a][0], lines[b - 1][0] + 1))
+            for j, c in places.get(lines[a][1], []):
+                n = 0
+                if a and c and lines[a - 1][1] == every[j][c - 1][1]:
+                    continue  # within the match that starts further left
+                while a + n < len(lines) and c + n < len(every[j]) and lines[a + n][1] == every[j][c + n][1]:
+                    n += 1
+                if sum(x[2] for x in lines[a : a + n]) < min_words:
+                    continue
+                gone |= {x[0] for x in lines[a : a + n]}
+                for x, y in zip(lines[a : a + n - 1], lines[a + 1 : a + n], strict=True):
+                    if min(x[2], y[2]) < min_words:  # lines without a word between them
+                        gone |= set(range(x[0], y[0]))
+            places.setdefault(lines[a][1], []).append((i, a))
         out[i] = "\n".join(x for k, x in enumerate((text or "").split("\n")) if k not in gone)
     return out

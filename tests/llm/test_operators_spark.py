@@ -172,6 +172,18 @@ def test_licences(spark, plain, documents, odd, none):
     assert license_scan.scan(odd).count() == len(ROWS) and license_scan.scan(none).count() == 0
 
 
+def test_line_dedup_holds_runs_against_all_earlier_places(spark):
+    w, y = " ".join(f"w{k}" for k in range(24)), "a short line\n\nand another one"
+    docs = [(1, f"{w}\nonly here"), *((k, f"x{k}\n{w}\n{y}\nz{k}") for k in range(2, 9))]
+    got = {r.doc_id: r.kept for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 2: f"x2\n{y}\nz2"} | {k: f"x{k}\nz{k}" for k in range(3, 9)}
+    rng = random.Random(5)
+    lines = ["", "  ", *(" ".join(f"v{k}" for _ in range(n)) for k, n in enumerate((1, 2, 3, 5, 6, 8)))]
+    docs = [(k, "\n".join(rng.choices(lines, k=rng.randrange(12)))) for k in range(300)]
+    got = {r.doc_id: r.kept for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), 6).collect()}
+    assert got == line_dedup.brute_force(docs, 6)
+
+
 def test_toxicity_is_learned(spark, sf_dir, odd, none):
     big = os.environ.get("TEST_TOXIC_DIR", "/root/testdata/sf0.01")
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
