@@ -5,9 +5,11 @@ least one piece of any match is untouched; every piece starts with an ANCHOR of
 the anchors' hashes, whole pieces are confirmed, and the text around a hit is verified with Myers' bit-parallel edit
 distance over words (any item length, as integers of that many bits).
 
-Words are [0-9a-z] and non-ASCII characters after A-Z are put in lower case; other characters separate. Items of fewer
-than MIN_WORDS words are phrases that clean texts hold too and are not searched for. Null or empty texts match nothing;
-repeated items report the same id once. Items go to the tasks in blocks of at most BLOCK_ITEMS, all texts are searched
+Words are [0-9a-z] and non-ASCII characters after A-Z are put in lower case; other characters separate. In scripts
+without spaces (ALONE: Chinese, Japanese, Thai, Lao, Tibetan, Burmese, Khmer) each character is a word. Items of fewer
+than WORDS_PER_ERROR words are searched for word for word; the anchor of one under ANCHOR words is the item. Null or
+empty texts, and those without a word, match nothing; repeated items report the same id once, and items without an id
+count like others and report a null. Items go to the tasks in blocks of at most BLOCK_ITEMS, all texts are searched
 for each block, so memory is bounded for any benchmark. Repeated rows are judged each; extra columns are ignored.
 """
 
@@ -26,12 +28,17 @@ from .license_scan import GAPS
 
 WORDS_PER_ERROR = 8
 ANCHOR = 4
-MIN_WORDS = 8
 #: Items sent to the tasks at once.
 BLOCK_ITEMS = 20_000
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 
+#: First and second byte in UTF-8 of the characters that are words of their own: U+0E00-109F but no Georgian, 1780-17FF,
+#: 2E80-A4CF, F900-FAFF, FF00-FF7F and from U+20000 on.
+ALONE = np.zeros((256, 256), bool)
+for _lead, _lo, _hi in ((0xE0, 0xB8, 0xBF), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE2, 0xBA, 0xBF), *((b, 0x80, 0xBF) for b in range(0xE3, 0xEA)), (0xEA, 0x80, 0x93), (0xEF, 0xA4, 0xAB), (0xEF, 0xBC, 0xBD), (0xF0, 0xA0, 0xBF)):
+    ALONE[_lead, _lo : _hi + 1] = True
+
 
 def myers(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Least edit distance of the pattern to any part of the text, and the end (exclusive) of the first such part."""
@@ -73,13 +80,14 @@ class Items:
             parts = n // WORDS_PER_ERROR + 1
             cuts = [n * p // parts for p in range(parts + 1)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                anchors.append(int(anchor_hashes(w[a:b])[0]))
+                anchors.append(int(anchor_hashes(w[a:b], min(ANCHOR, b - a))[0]))
                 pieces.append((k, a, b))
         order = np.argsort(np.array(anchors, np.uint64), kind="stable")
         self.anchors = np.array(anchors, np.uint64)[order]
         self.pieces = [pieces[k] for k in order]
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[self.anchors >> np.uint64(44)] = True
+        self.lengths = sorted({min(ANCHOR, b - a) for _, a, b in pieces})
 
     def hits(self, anchors: np.ndarray) -> np.ndarray:
         maybe = np.flatnonzero(self.sieve[anchors >> np.uint64(44)])
@@ -110,18 +118,32 @@ class Items:
         return [(i, d, e) for i, (d, e) in out.items()]
 
 
-def anchor_hashes(words: np.ndarray) -> np.ndarray:
-    """Hashes of the ANCHOR words from each place."""
-    n = len(words) - ANCHOR + 1
+def anchor_hashes(words: np.ndarray, length: int = ANCHOR) -> np.ndarray:
+    """Hashes of the words from each place, `length` of them."""
+    n = len(words) - length + 1
     h = words[: max(n, 0)] * _A
-    for k in range(1, ANCHOR):
+    for k in range(1, length):
         h = mix(h + words[k : k + max(n, 0)]) * _A
     return h
 
 
+def spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words; characters of scripts without spaces are cut out of the runs that hold them."""
+    starts, ends = word_spans(data, bounds, GAPS)
+    at = np.flatnonzero(data[:-1] >= 0xE0)
+    at = at[ALONE[data[at], data[at + 1]]]
+    if not len(at):
+        return starts, ends
+    cuts = np.unique(np.concatenate([at, at + np.where(data[at] >= 0xF0, 4, 3)]))
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    inner = cuts[~GAPS[data[cuts - 1]] & ~GAPS[data[cuts]]]
+    inner = np.setdiff1d(inner, starts, assume_unique=True)
+    return np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+
+
 def hashed_words(text: bytes) -> np.ndarray:
     data = LOWER[np.frombuffer(text, np.uint8)]
-    starts, ends = word_spans(data, np.array([0, len(data)]), GAPS)
+    starts, ends = spans(data, np.array([0, len(data)]))
     return word_hashes(data, starts, ends)
 
 
@@ -131,28 +153,36 @@ def _search(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Reco
         off, data = text_bytes(batch.column(1))
         for lo, hi in slices(off):
             part, bounds = LOWER[data[off[lo] : off[hi]]], off[lo : hi + 1] - off[lo]
-            starts, ends = word_spans(part, bounds, GAPS)
+            starts, ends = spans(part, bounds)
             words = word_hashes(part, starts, ends)
             first = np.searchsorted(starts, bounds)
-            anchors = anchor_hashes(words)
-            at = items.hits(anchors)
-            row = np.searchsorted(first, at, "right") - 1
+            at, anchors, row = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            for length in items.lengths:
+                hashes = anchor_hashes(words, length)
+                place = items.hits(hashes)
+                of = np.searchsorted(first, place, "right") - 1
+                if length < ANCHOR:  # the item itself: its first place in a text is enough
+                    _, once = np.unique(np.stack([of.astype(np.uint64), hashes[place]]), axis=1, return_index=True)
+                    place, of = place[once], of[once]
+                at, anchors, row = np.concatenate([at, place]), np.concatenate([anchors, hashes[place]]), np.concatenate([row, of])
+            order = np.lexsort((at, row))
+            at, anchors, row = at[order], anchors[order], row[order]
             edge = np.searchsorted(row, np.arange(hi - lo + 1))
             out = []
             for k in range(hi - lo):
                 here = at[edge[k] : edge[k + 1]]
-                found = items.matches(words[first[k] : first[k + 1]], here - first[k], anchors[here]) if len(here) else []
+                found = items.matches(words[first[k] : first[k + 1]], here - first[k], anchors[edge[k] : edge[k + 1]]) if len(here) else []
                 out.append((ids[lo + k], sorted(i for i, _, _ in found), min((d for _, d, _ in found), default=None)))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.list_(pa.int64())), pa.array([r[2] for r in out], pa.int64())], names=["doc_id", "item_ids", "distance"])
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark in blocks of about BLOCK_ITEMS items, each small enough for every task."""
-    items = texts(benchmark, "item_id").where(F.col("doc_id") != NO_ID)
+    items = texts(benchmark, "item_id")
     n_blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     for block in range(n_blocks):
         held = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)) == block).distinct().collect()
-        pairs = [(r["doc_id"], w) for r in held if len(w := hashed_words(r["text"].encode())) >= MIN_WORDS]
+        pairs = [(r["doc_id"], w) for r in held if len(w := hashed_words(r["text"].encode()))]
         yield Items([i for i, _ in pairs], [w for _, w in pairs])
 
 
@@ -163,18 +193,23 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs
 
 
+def shown(found: DataFrame) -> DataFrame:
+    """Null ids as null again, of documents and of items."""
+    return restored(found).withColumn("item_ids", F.transform("item_ids", lambda i: F.nullif(i, F.lit(NO_ID))))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document: doc_id, item_ids (sorted, of the items found in it), distance (least word edits, null without an item)."""
+    """Per document: doc_id, item_ids (sorted, null first, of the items found in it), distance (least word edits, null without an item)."""
     rows = texts(docs)
     parts = [rows.mapInArrow(lambda it, items=items: _search(it, items), "doc_id bigint, item_ids array<bigint>, distance bigint") for items in item_blocks(benchmark)]
     if len(parts) == 1:
-        return restored(parts[0])
+        return shown(parts[0])
     tagged = [p.withColumn("row", F.monotonically_increasing_id()) for p in parts]  # the same row order in each block
     every = tagged[0]
     for p in tagged[1:]:
         every = every.unionByName(p)
     joined = every.groupBy("doc_id", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.min("distance").alias("distance"))
-    return restored(joined.drop("row"))
+    return shown(joined.drop("row"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,12 +217,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").cast("long").alias("n_items"), "item_ids", "distance")
 
 
-def brute_force(text: str | None, items: list[tuple[int, str]]) -> tuple[list[int], int | None]:
+def brute_force(text: str | None, items: list[tuple[int | None, str]]) -> tuple[list[int | None], int | None]:
     """Items within their budget of one text by the plain table of edit distances, for tests."""
     words, out = hashed_words((text or "").encode()).tolist(), []
     for item_id, item in items:
         w = hashed_words((item or "").encode()).tolist()
-        if len(w) < MIN_WORDS:
+        if not w:
             continue
         column = list(range(len(w) + 1))
         best = column[-1]
@@ -198,4 +233,4 @@ def brute_force(text: str | None, items: list[tuple[int, str]]) -> tuple[list[in
             best = min(best, column[-1])
         if best <= len(w) // WORDS_PER_ERROR:
             out.append((item_id, best))
-    return sorted({i for i, _ in out}), min((d for _, d in out), default=None)
+    return sorted({i for i, _ in out}, key=lambda i: (i is not None, i)), min((d for _, d in out), default=None)

@@ -213,6 +213,24 @@ def test_decontamination(spark, sf_dir, plain, documents, odd, none):
     assert decontaminate.matches(odd, bench.limit(0)).where("size(item_ids) > 0").count() == 0
 
 
+def test_decontamination_finds_short_items_scripts_without_spaces_and_items_without_id(spark, monkeypatch):
+    zh = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    items = [(1, "Who wrote it?"), (2, "forty-two"), (3, "Paris"), (4, "one two three four five"), (5, zh), (6, "กรุงเทพ"), (None, "a short one, without id"), (None, "another of none"), (7, " ?! "), (8, None), (9, "東京")]
+    docs = [
+        (1, "so who WROTE it, then"), (2, "forty one two"), (3, "in paris. Paris, paris"), (4, "x one two three four five"), (5, "one two three four six"), (6, "诗" + zh[:9] + "了" + zh[10:] + "。"), (7, zh[:6] + "x" + zh[6:9]),
+        (8, "ที่กรุงเทพมหานคร"), (9, "here: a short one without id"), (10, "forty"), (11, "two"), (12, ""), (13, None), (14, "abc東京tower 大阪"), (15, "another of none; a short one without id"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {i: decontaminate.brute_force(t, items) for i, t in docs}
+    found = {i for i, (ids, _) in want.items() if ids}
+    assert found == {1, 3, 4, 6, 8, 9, 14, 15} and want[9] == ([None], 0) and want[6] == ([5], 1)
+    for size in (20_000, 3):
+        monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", size)
+        assert {r.doc_id: (r.item_ids, r.distance) for r in decontaminate.matches(df, bench).collect()} == want
+        assert {r.doc_id for r in decontaminate.clean_documents(df, bench).collect()} == {i for i, _ in docs} - found
+
+
 def test_decontamination_finds_edits_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
     rng = random.Random(4)
