@@ -3,7 +3,8 @@
 A sentence's score is the logistic of a fixed negative bias plus the weights of its words' features, and 0 if it has none
 of the model's features, so length alone is no evidence; a document is toxic if any sentence is:
 score = 1 - prod(1 - sentence score). Only documents have labels. Features are the first 4
-to 8 bytes of a word in lower case (A-Z) and whole words of up to 8 bytes, by 64-bit hash. The fit takes the labelled
+to 8 bytes of a word in lower case (A-Z), its first 4 to 8 characters if some are not ASCII, and the whole word, by
+64-bit hash. The fit takes the labelled
 rows whose crc32(doc_id as text) mod 3 is not 1, at most MAX_LABELLED of them in the order of a hash of their id; it
 keeps the features that a likelihood-ratio test finds in toxic documents and maximises the noisy-or likelihood over
 their weights. Scoring covers every text whole; the model is at most MAX_FEATURES hashes and weights.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, keep_rows, mix, read, restored, slices, text_bytes, texts, word_spans
+from .common import LOWER, keep_rows, mix, read, restored, slices, text_bytes, texts, word_hashes, word_spans
 
 MAX_LABELLED = 5000
 MAX_FEATURES = 4000
@@ -82,6 +83,21 @@ def word_features(head: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.nda
             yield some, mix((head[some] << bits >> bits) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
 
 
+def all_features(data: np.ndarray, starts: np.ndarray, head: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Those of word_features, whole words beyond eight bytes, and prefixes in characters of words that are not ASCII."""
+    yield from word_features(head, length)
+    data = LOWER[data]
+    some = np.flatnonzero(length > 8)
+    if len(some):
+        yield some, mix(word_hashes(data, starts[some], starts[some] + length[some]) + np.uint64(100))
+    leads = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))
+    first, end = np.searchsorted(leads, starts), np.searchsorted(leads, starts + length)
+    for k in PREFIXES:
+        some = np.flatnonzero((end - first < length) & (end - first >= k))
+        if len(some):
+            yield some, mix(word_hashes(data, starts[some], leads[first[some] + k]) + np.uint64(100 + k))
+
+
 def sentences(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Dense numbers of the sentences that hold each word, and each sentence's first word. A sentence is in one text."""
     stops = np.cumsum(STOPS[data])
@@ -115,8 +131,7 @@ def fit_rows(texts_: list[bytes], toxic: np.ndarray) -> Model:
     parts, held = [], 0
     for text, y in zip(texts_, toxic, strict=True):
         data = np.frombuffer(text, np.uint8)
-        _, head, length = words_of(data, np.array([0, len(data)]))
-        f = [h for _, h in word_features(head, length)]
+        f = [h for _, h in all_features(data, *words_of(data, np.array([0, len(data)])))]
         if f:
             u = np.unique(np.concatenate(f))
             parts.append((u, np.ones(len(u), np.int32), np.full(len(u), int(y), np.int32)))
@@ -140,7 +155,7 @@ def fit_rows(texts_: list[bytes], toxic: np.ndarray) -> Model:
         bounds = np.array([0, len(data)])
         starts, head, length = words_of(data, bounds)
         number, _ = sentences(data, bounds, starts)
-        mine = [(model.of(h), w) for w, h in word_features(head, length)]
+        mine = [(model.of(h), w) for w, h in all_features(data, starts, head, length)]
         f = np.concatenate([a for a, _ in mine]) if mine else np.zeros(0, np.int64)
         s = number[np.concatenate([w for _, w in mine])] if mine else f
         pairs = np.unique(np.stack([s[f >= 0], f[f >= 0]]), axis=1)
@@ -196,7 +211,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
             part, bounds = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
             starts, head, length = words_of(part, bounds)
             number, firsts = sentences(part, bounds, starts)
-            hits = [(model.of(h), w) for w, h in word_features(head, length)] if len(model.hashes) else []
+            hits = [(model.of(h), w) for w, h in all_features(part, starts, head, length)] if len(model.hashes) else []
             f = np.concatenate([a[a >= 0] for a, _ in hits]) if hits else np.zeros(0, np.int64)
             s = np.concatenate([number[w[a >= 0]] for a, w in hits]) if hits else np.zeros(0, np.int64)
             pairs = np.unique(s * MAX_FEATURES + f)

@@ -148,6 +148,15 @@ def test_toxicity_of_a_clean_text_does_not_grow_with_its_length():
     assert toxicity.fit_rows(long + short, np.array([1] * 4 + [0] * 44)).weights.max() > 1
 
 
+def test_toxicity_tells_words_apart_beyond_eight_bytes():
+    for good, bad in (("communication", "communicators"), ("глупости", "глупцами"), ("मूर्खता", "मूर्तियाँ")):
+        texts = [f"this is {bad if k % 4 == 0 else good} here".encode() for k in range(200)]
+        model = toxicity.fit_rows(texts, np.array([k % 4 == 0 for k in range(200)], int))
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([f"a {good}", f"a {bad}"])], names=["doc_id", "text"])
+        low, high = [r["score"] for out in toxicity._score(iter([batch]), model) for r in out.to_pylist()]
+        assert low < 0.5 < high
+
+
 def test_warc_records_link_and_parse():
     data = warc.response(7, "http://a.example/\r\nx", "<title>T &amp; t</title><p>One<br>two<script>no</script></p><!-- c --><a href='/x'>l</a>")
     headers, block = warc.parse(data)
