@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on; longer single documents make a step of their own.
@@ -43,13 +43,31 @@ def restored(df: DataFrame, *id_cols: str) -> DataFrame:
     return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in id_cols or ("doc_id",)})
 
 
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, text: id and hash together name a row, also where ids are null or given twice.
+
+    Rows equal in both are one document given twice.
+    """
+    return texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+
+
+def row_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The whole rows as a struct `row`, beside the doc_id and text_hash that `keyed_texts` gives them."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return docs.select(F.struct("*").alias("row"), key[0].alias("doc_id"), key[1].alias("text_hash"))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session, else (tests) a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a local master (tests) a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
+    jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not where and jvm_dir.isDefined():
+        where = jvm_dir.get()
     if not where:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        where = jvm_dir.get() if jvm_dir.isDefined() else "file://" + tempfile.mkdtemp(prefix="stockyard-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="stockyard-")
+    if not jvm_dir.isDefined():
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 
@@ -68,6 +86,53 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one run that nothing needs after it; `clear` deletes them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.steps = spark, shared_path(spark, name), 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.steps += 1
+        path = f"{self.path}/{self.steps}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Parts in which the rows of one key are joined with what is known of the key.
+CELLS = 64
+
+
+def cell_of(*members: str) -> Column:
+    return F.pmod(F.xxhash64(*members), F.lit(CELLS)).cast("int")
+
+
+def cells_seen(cell: Column) -> Column:
+    """Aggregate: the cells of a group as bits of one long, combined before the shuffle."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), cell))
+
+
+def each_cell(cells: Column) -> Column:
+    """One row for each cell in the bits."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.getbit(cells, c) == 1))
+
+
+def with_group(rows: DataFrame, keys: list[str], members: list[str], known: list[Column], where: str = "true") -> DataFrame:
+    """Rows of the groups that pass, with the group's aggregates beside them.
+
+    Aggregates are combined before the shuffle, and a group is joined back in CELLS parts, so a hot key meets in no
+    single task. The rows are read twice: give a written table or a cheap one.
+    """
+    dealt = rows.withColumn("_cell", cell_of(*members))
+    groups = dealt.groupBy(*keys).agg(*known, cells_seen(F.col("_cell")).alias("_cells")).where(where)
+    groups = groups.withColumn("_cell", each_cell(F.col("_cells"))).drop("_cells")
+    return dealt.join(groups, [*keys, "_cell"]).drop("_cell")
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (rows + 1) and bytes of a string or binary column without nulls."""
     if isinstance(column, pa.ChunkedArray):

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut as keep
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = keep) -> DataFrame:
     """edges (a, b) to (id, root): the smallest id reachable, for every id that has an edge.
 
     Each round hooks every vertex to its least neighbour, shortens the chains by pointer jumping and contracts the
     edges, so the number of vertices at least halves. Neighbours are reduced by min, map-side first, and never listed.
+    cut: writes an intermediate table and reads it back.
     """
     left = cut(edges.select("a", "b").where("a <> b").distinct())
     roots = None

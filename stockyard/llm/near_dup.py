@@ -5,79 +5,83 @@ half of each collection, so 2 * halves * per_half minhashes serve where plain ba
 Two texts miss each other in all tables only if all halves of one collection differ: at similarity 0.8 and the default
 12 x 3 that is 2 * (1 - 0.8^3)^12, about 4 in 10,000.
 
-1. Texts with equal shingle sets become one representative.
+1. Texts with equal shingle sets become one representative. Table keys are formed of halves that several share.
 2. Keys that several representatives share are buckets. The most central member of a bucket (the one with most company
-   over all tables) is its leader and is compared with all others, which is linear in the bucket.
-3. Components follow from the confirmed links. What is left are pairs of different components that share a leader.
-   With s the shingles of a member that its leader has and r the others, two members share at most min(s, s') +
-   min(r, r'), and min(s, s') + (their common others). In groups of up to SMALL members the pairs that the first bound
-   allows are compared. In larger ones, pairs that the second allows by size alone, or because they share one of the
-   others in a prefix that must hold a common one (prefix filter); each such shingle first compares its most central
-   member with the others, and components are formed anew.
-4. Before sets are compared, minhashes of 8 bits each must agree in as many places as at the similarity looked for,
-   less four standard deviations (1 link in 30,000 at the similarity itself, fewer above).
-
-Null, empty and space-only texts have an empty set and link with nothing; texts with fewer words than a shingle are one
-shingle. Repeated rows of an id count once in the groups and keep each their row. Extra columns are ignored; an empty
-table gives an empty result.
+   over all tables) leads it and is compared with all others, which is linear in the bucket. Links form components.
+3. What is left are pairs of different components with a common leader. Let D(x) be the shingles that only one of x and
+   the leader has. Sets of n and m shingles are linked if at most (n + m) * (den - num) / (den + num) shingles are in
+   one of them only, so D(x) and D(y) must share at least half of |D(x)| + |D(y)| less that number, which is above zero
+   unless both are linked with the leader. Hence a prefix of D(x) must hold a common shingle: a short one where both are
+   far from the leader, a longer one where one is near it, in an order that puts the group's frequent shingles last.
+   Shingles that members of different components share are the buckets of the next level, inside their group: those of
+   up to LEAF members (or FEW on the near or the far side) end there, with the pairs that such an overlap allows, larger
+   ones go on as in step 2. A level's groups are smaller than those they come from, as each loses its leader, and the
+   last level has none.
+
+Pairs are only formed in such small buckets, so work grows with the rows of the buckets. Null, empty and space-only texts have an empty
+set and link with nothing; texts with fewer words than a shingle are one shingle. Rows are told apart by id and text
+hash, so rows without an id, or with the id of another text, link as rows of their own; rows equal in both are one
+document given twice. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, mix, read, restored, shared_path, slices, text_bytes, texts
+from .common import NO_ID, Scratch, cell_of, cells_seen, cut, each_cell, keyed_texts, mix, read, restored, row_keys, slices, text_bytes, with_group
 from .components import components
-from .shingles import MinHashes, shingle_sets, sketches, table_keys, tensor_halves
+from .shingles import MinHashes, shingle_sets, tensor_halves
 
 WORDS = 5
 SIMILARITY = (80, 100)
 HALVES = 12
 PER_HALF = 3
-#: Members of a leader among which all pairs that the bounds allow are looked at.
-SMALL = 64
 #: Members that are compared with one leader in one task.
 GROUP = 1000
+#: Members of a bucket of differing shingles that are compared in pairs; larger buckets are divided again.
+LEAF = 128
+#: The same where only members near the group's leader can be linked with those far from it: members of the smaller side.
+FEW = 16
+#: Shingles count as frequent in a group if more than FREQUENT and one in RARE of its members have them in D.
+FREQUENT = 16
+RARE = 1000
 #: Shingles of one leader's members that a task holds to drop those without company.
 HELD = 2_000_000
 
-SIGNATURES = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, halves array<bigint>, sketch array<bigint>"
+SIGNATURES = "doc_id bigint, text_hash bigint, n_shingles bigint, k1 bigint, k2 bigint, halves array<bigint>"
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], words: int, halves: int, per_half: int) -> Iterator[pa.RecordBatch]:
     hashes = MinHashes(2 * halves * per_half)
     for batch in batches:
-        off, data = text_bytes(batch.column(1))
+        off, data = text_bytes(batch.column(2))
         for lo, hi in slices(off):
             sets, at = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], words)
-            minhashes = hashes.of(sets, at)
-            parts, sketch = tensor_halves(minhashes, per_half), sketches(minhashes)
+            parts = np.ascontiguousarray(tensor_halves(hashes.of(sets, at), per_half)).view(np.int64)
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(x)]) for x in (mix(sets), mix(sets ^ _SALT))]
             k1, k2 = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
-            of_rows = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(np.ascontiguousarray(m).view(np.int64).reshape(-1)))
-            lists = of_rows(parts)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(k1), pa.array(k2), lists, of_rows(sketch)], names=["doc_id", "n_shingles", "k1", "k2", "halves", "sketch"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * (2 * halves)), pa.array(parts.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in (0, 1)), pa.array(np.diff(at)), pa.array(k1), pa.array(k2), lists], names=["doc_id", "text_hash", "n_shingles", "k1", "k2", "halves"])
 
 
 def signatures(docs: DataFrame, words: int = WORDS, halves: int = HALVES, per_half: int = PER_HALF) -> DataFrame:
-    """Per document: size of its shingle set, 128 bits that identify the set, and the half keys."""
-    return texts(docs).mapInArrow(lambda it: _signatures(it, words, halves, per_half), SIGNATURES)
+    """Per row: its key, size of its shingle set, 128 bits that identify the set, and the half keys."""
+    return keyed_texts(docs).mapInArrow(lambda it: _signatures(it, words, halves, per_half), SIGNATURES)
 
 
-def _keys(batches: Iterator[pa.RecordBatch], halves: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 2000):
-            part = batch.slice(lo, 2000)
-            flat = part.column(1).flatten().to_numpy().view(np.uint64).reshape(part.num_rows, 2 * halves)
-            keys = table_keys(flat)
-            ids = np.repeat(part.column(0).to_numpy(), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids)], names=["key", "id"])
+def table_keys(reps: DataFrame, halves: int, work: Scratch) -> DataFrame:
+    """id and halves to (key, id): keys of all tables whose two halves other representatives have too."""
+    each = reps.select("id", F.posexplode("halves").alias("j", "half"))
+    shared = with_group(each, ["half"], ["id"], [F.min("id").alias("low"), F.max("id").alias("high")], "low < high")
+    lists = [F.collect_list(F.when(side, F.col("half"))).alias(name) for name, side in (("x", F.col("j") < halves), ("y", F.col("j") >= halves))]
+    both = work.cut(shared.groupBy("id").agg(*lists).where("size(x) > 0 AND size(y) > 0"))
+    return both.select("id", F.explode("x").alias("x"), "y").select("id", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "id")
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -89,205 +93,305 @@ def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), blobs.cast(pa.binary())], names=["id", "shingles"])
 
 
-def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, list[tuple]]]:
-    """Rows sorted by (leader, part, member), the leader's own row (member null) first, to members with their leader's set.
+def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, np.ndarray, list, list[tuple]]]:
+    """Rows sorted by (group, part, member), the leader's own row (member null) first, to members with their leader's set.
 
-    Each is (leader, its number of parts, its set, members as (id, set, other columns)).
+    Each is (group, its number of parts, leader, its set, its frequent shingles, members as (id, set, other columns)).
     """
-    leader, parts, own = None, 1, np.zeros(0, np.uint64)
+    group, parts, leader, own, frequent = None, 1, None, np.zeros(0, np.uint64), []
     for batch in batches:
         members: list[tuple] = []
-        others = [batch.column(k).to_pylist() for k in range(5, batch.num_columns)]
-        for a, b, blob, n, *more in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), *others, strict=True):
+        columns = [batch.column(k).to_pylist() for k in (0, 2, 3, 5, 6)]
+        others = [batch.column(k).to_pylist() for k in range(7, batch.num_columns)]
+        for g, a, b, n, top, blob, *more in zip(*columns, batch.column(4), *others, strict=True):
             shingles = np.frombuffer(blob.as_buffer(), "<u8")
             if b is None:
                 if members:
-                    yield leader, parts, own, members
-                leader, parts, own, members = a, n, shingles, []
+                    yield group, parts, leader, own, frequent, members
+                group, parts, leader, own, frequent, members = g, n, a, shingles, top or [], []
             else:
                 members.append((b, shingles, *more))
         if members:
-            yield leader, parts, own, members
+            yield group, parts, leader, own, frequent, members
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for a, _, own, members in _with_leader(batches):
-        out = [(a, b, len(np.intersect1d(own, x, assume_unique=True)), len(own), len(x)) for b, x in members]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "both", "n_a", "n_b"])
+    for g, _, a, own, _, members in _with_leader(batches):
+        out = [(g, a, b, len(np.intersect1d(own, x, assume_unique=True)), len(own), len(x)) for b, x in members]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["g", "a", "b", "both", "n_a", "n_b"])
+
+
+def _apart(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return mix(np.setxor1d(x, own, assume_unique=True))
+
+
+def _counts(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """How many members have a shingle in D, by group and part; shingles of one member are left out."""
+    held: list[np.ndarray] = []
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        shingles, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        shingles, n = shingles[n > 1], n[n > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), group)), pa.array(shingles.view(np.int64)), pa.array(n)], names=["g", "key", "n"])
+
+    group, size = None, 0
+    for g, _, _, own, _, members in _with_leader(batches):
+        if held and (g != group or size > most):
+            yield from rows()
+            size = 0
+        group = g
+        for _, x, *_ in members:
+            held.append(_apart(x, own))
+            size += len(held[-1])
+    if held:
+        yield from rows()
 
 
-def _others(batches: Iterator[pa.RecordBatch], num: int, den: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
-    """Per member, the prefix of its shingles that the leader lacks of which any link needs one in common.
+#: Kinds of buckets and members: far members among themselves, far ones that near ones may be linked with, near ones.
+AMONG, FAR, NEAR = range(3)
 
-    Where a leader has one part, shingles that no two roots of it share are left out here already, unless the part holds
-    more than `most` of them; they are left out after the shuffle in any case.
+
+def _differences(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Per member and kind of bucket, the given number of shingles of D, the frequent ones last.
+
+    Where a group has one part, shingles without company are left out here already, unless the part holds more than
+    `most` of them; they are left out after the shuffle in any case.
     """
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple] = []
+
+    def differ(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+        order = np.lexsort((values, keys))
+        keys_in, values_in = keys[order], values[order]
+        return values_in[np.searchsorted(keys_in, keys)] < values_in[np.searchsorted(keys_in, keys, "right") - 1]
 
     def rows(whole: bool) -> Iterator[pa.RecordBatch]:
-        ids, shingles, roots = (np.concatenate(c) for c in zip(*held, strict=True))
+        sizes = [len(x[0]) for x in held]
+        keys = np.concatenate([x[0] for x in held])
+        ids, roots, ds, es, kinds = (np.repeat(np.array(c, np.int64), sizes) for c in list(zip(*held, strict=True))[1:])
         held.clear()
+        columns = [keys.view(np.int64), ids, roots, ds, es, kinds]
         if whole:
-            order = np.lexsort((roots, shingles))
-            by_shingle, by_root = shingles[order], roots[order]
-            keep = by_root[np.searchsorted(by_shingle, shingles)] < by_root[np.searchsorted(by_shingle, shingles, "right") - 1]
-            ids, shingles, roots = ids[keep], shingles[keep], roots[keep]
-        if len(ids):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), leader)), pa.array(ids), pa.array(shingles.view(np.int64)), pa.array(roots)], names=["a", "b", "shingle", "root"])
-
-    leader, whole, size = None, False, 0
-    for a, parts, own, members in _with_leader(batches):
-        if a != leader:
+            keep = differ(keys, roots) & ((kinds == AMONG) | differ(keys, kinds))
+            columns = [c[keep] for c in columns]
+        if len(columns[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), group)), *map(pa.array, columns)], names=["g", "key", "id", "root", "d", "e", "kind"])
+
+    group, whole, size = None, False, 0
+    for g, parts, _, own, frequent, members in _with_leader(batches):
+        if g != group:
             if held:
                 yield from rows(whole)
-            leader, whole, size = a, parts == 1, 0
-        for b, x, root in members:
-            others = np.setdiff1d(x, own, assume_unique=True)
-            need = max(1, -(-num * len(x) // den) - (len(x) - len(others)))
-            others = np.sort(mix(others))[: max(0, len(others) - need + 1)]
-            held.append((np.full(len(others), b), others, np.full(len(others), root)))
-            size += len(others)
-            if size > most:  # from here on, rows of this leader leave as they are
+            group, whole, size = g, parts == 1, 0
+        last = np.array(frequent, np.int64).view(np.uint64)
+        order = np.argsort(last)
+        for b, x, root, d, e, near, among, across in members:
+            shingles = _apart(x, own)
+            rank = np.zeros(len(shingles), np.int64)
+            if len(last):
+                at = np.minimum(np.searchsorted(last[order], shingles), len(last) - 1)
+                rank = np.where(last[order][at] == shingles, order[at] + 1, 0)
+            shingles = shingles[np.lexsort((shingles, rank))]
+            for kind, prefix in ((AMONG, among), (NEAR if near else FAR, across)):
+                if prefix > 0:
+                    held.append((shingles[:prefix] if kind == AMONG else mix(shingles[:prefix] ^ _SALT), b, root, d, e, kind))
+                    size += len(held[-1][0])
+            if size > most:  # from here on, rows of this group leave as they are
                 whole, size = False, 0
                 yield from rows(whole)
     if held:
         yield from rows(whole)
 
 
-def _by_leader(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) to the sets of each a and its b, ordered for _with_leader. The members of a large leader are split.
+def _by_leader(pairs: DataFrame, sets: DataFrame, frequent: DataFrame | None = None) -> DataFrame:
+    """(g, a, b) to the sets of each a and its b, ordered for _with_leader. The members of a large group are split.
 
-    Other columns of the pairs stay with their members.
+    Other columns of the pairs stay with their members; frequent: g and its frequent shingles, for the leader's rows.
     """
-    more = [c for c in pairs.columns if c not in ("a", "b")]
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.ceil(F.col("n") / GROUP).cast("int")
-    pairs = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"), parts.alias("parts"), *more)
-    members = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "shingles", "parts", *more)
-    leaders = counts.join(sets.withColumnRenamed("id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "shingles", parts.alias("parts"))
-    return members.unionByName(leaders, allowMissingColumns=True).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    more = [c for c in pairs.columns if c not in ("g", "a", "b")]
+    parts = F.ceil(F.col("size") / GROUP).cast("int")
+    none = F.lit(None).cast("array<bigint>").alias("frequent")
+    sized = with_group(pairs, ["g", "a"], ["b"], [F.count(F.lit(1)).alias("size")])
+    sized = sized.select("g", "a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"), parts.alias("parts"), *more)
+    members = sized.join(sets.withColumnRenamed("id", "b"), "b").select("g", "part", "a", "b", "shingles", "parts", none, *more)
+    groups = pairs.groupBy("g", "a").agg(F.count(F.lit(1)).alias("size")).join(sets.withColumnRenamed("id", "a"), "a")
+    groups = groups.withColumn("frequent", none) if frequent is None else groups.join(frequent, "g", "left")
+    leaders = groups.select("g", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "a", F.lit(None).cast("bigint").alias("b"), "shingles", parts.alias("parts"), "frequent")
+    return members.unionByName(leaders, allowMissingColumns=True).repartition("g", "part").sortWithinPartitions("g", "part", F.col("b").asc_nulls_first())
+
+
+def _frequent(open_pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """g and the shingles that many of its members have in D, the most frequent last; at most RARE times the mean of |D|."""
+    counts = _by_leader(open_pairs.select("g", "a", "b"), sets).mapInArrow(_counts, "g bigint, key bigint, n bigint")
+    counts = counts.groupBy("g", "key").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT)
+    sizes = open_pairs.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    top = counts.join(sizes, "g").where(F.col("n") * RARE > F.col("size"))
+    return top.groupBy("g").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "key"))), lambda x: x.key).alias("frequent"))
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) to (a, b, both, n_a, n_b): sizes of the full sets and of their intersection."""
-    return _by_leader(pairs, sets).mapInArrow(_sizes, "a bigint, b bigint, both bigint, n_a bigint, n_b bigint")
+    """(g, a, b) to (g, a, b, both, n_a, n_b): sizes of the full sets and of their intersection."""
+    return _by_leader(pairs, sets).mapInArrow(_sizes, "g bigint, a bigint, b bigint, both bigint, n_a bigint, n_b bigint")
 
 
-def _agreeing(x: Column, y: Column, longs: int) -> Column:
-    """Places at which two sketches of eight bytes in each long agree."""
-    apart = F.lit(0)
-    for k in range(longs):
-        d = x[k].bitwiseXOR(y[k])
-        for step in (1, 2, 4):  # the lowest bit of a byte becomes the OR of its bits
-            d = d.bitwiseOR(F.shiftrightunsigned(d, step))
-        apart = apart + F.bit_count(d.bitwiseAND(F.lit(0x0101010101010101)))
-    return F.lit(8 * longs) - apart
-
+def _stars(live: DataFrame, work: Scratch) -> DataFrame:
+    """Buckets (g, key, id, c) to distinct pairs (g, a, b) of their leaders a and other members b, each in the group of its leader."""
+    central = live.groupBy("id").agg(F.sum("c").alias("cent"))
+    known = work.cut(live.join(central, "id").select("g", "key", "id", "cent"))
+    led = with_group(known, ["g", "key"], ["id"], [F.max(F.struct("cent", (-F.col("id")).alias("less"))).alias("top")])
+    a = -F.col("top.less")
+    return work.cut(led.where(a != F.col("id")).select(F.xxhash64("g", a).alias("g"), a.alias("a"), F.col("id").alias("b")).distinct())
 
-def linked_groups(keys: DataFrame, sets_of, sketch_of: DataFrame, minhashes: int, similarity: tuple[int, int]) -> DataFrame:
-    """Shared table keys (key, id) to (id, root) over confirmed links.
 
-    sets_of: makes the shingle sets of a table of ids. sketch_of: id and sketch.
+def _leaf_pairs(live: DataFrame, similarity: tuple[int, int], work: Scratch) -> DataFrame:
+    """Buckets of few members (g, key, id, root, d, e) to (g, a, b): each pair of different components that may be linked, once."""
+    num, den = similarity
+    x, y = (live.select("g", "key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "d", "e", "kind")]) for side in "xy")
+    able = F.col("e_x") + F.col("e_y") <= F.least("d_x", "d_y") * (2 * (num + den))
+    order = F.when(F.col("kind_x") == AMONG, F.col("id_x") < F.col("id_y")).otherwise((F.col("kind_x") == FAR) & (F.col("kind_y") == NEAR))
+    met = x.join(y, ["g", "key"]).where(order & (F.col("root_x") != F.col("root_y")) & able)
+    met = met.select(F.least("id_x", "id_y").alias("id_x"), F.greatest("id_x", "id_y").alias("id_y"))
+    return work.cut(met.select(F.col("id_x").alias("g"), F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
+
+
+def _joined_roots(roots: DataFrame | None, links: DataFrame, work: Scratch) -> DataFrame:
+    """(id, root) with the links (a, b) added."""
+    if roots is None:
+        return components(links, work.cut)
+    of = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}"))
+    x, y = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
+    edges = work.cut(links.join(of("a"), "a", "left").join(of("b"), "b", "left").where(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
+    if edges.isEmpty():
+        return roots
+    up = components(edges, work.cut)
+    moved = roots.join(up.select(F.col("id").alias("root"), F.col("root").alias("top")), "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+    return work.cut(moved.unionByName(up.join(roots.select("id"), "id", "left_anti")))
+
+
+def _open_pairs(stars: DataFrame, roots: DataFrame, similarity: tuple[int, int], work: Scratch) -> DataFrame:
+    """Compared pairs to (g, a, b, root, d, e, near, among, across): members that may be linked with one of another component in their group.
+
+    near: linked with the leader. among, across: prefixes for far members with each other, and for near ones with far ones.
+    e is what a set takes off the overlap that it needs: x and y need 2 * (num + den) * overlap >= e(x) + e(y), and an
+    overlap is at most |D(y)|, so a partner of x has at least e(x) less 2 * (den - num) of its shingles.
+    """
+    num, den = similarity
+    s, t = num + den, den - num
+    d = F.col("n_a") + F.col("n_b") - 2 * F.col("both")
+    members = stars.join(roots.select(F.col("id").alias("b"), "root"), "b", "left").select("g", "a", "b", F.coalesce("root", "b").alias("root"), F.col("n_b").alias("n"), d.alias("d"), (d * s - F.col("n_b") * t).alias("e"), (d * s <= (F.col("n_a") + F.col("n_b")) * t).alias("near"))
+    members = work.cut(members)
+    known = [F.min("root").alias("low"), F.max("root").alias("high")]
+    for side, test in (("near", F.col("near")), ("far", ~F.col("near"))):
+        known += [F.min(F.when(test, F.col("e"))).alias(f"e_{side}"), F.max(F.when(test, F.col("n"))).alias(f"n_{side}"), F.max(F.when(test, F.col("d") * s + F.col("n") * t)).alias(f"most_{side}")]
+    mixed = with_group(members, ["g"], ["b"], known, "low < high")
+    need = {side: F.when(F.col("e") <= F.col(f"most_{side}"), F.greatest(F.lit(1), F.ceil((F.col("e") + F.greatest(f"e_{side}", F.col("e") - F.col(f"n_{side}") * (2 * t))) / (2 * s)))) for side in ("near", "far")}
+    prefix = lambda side: F.coalesce(F.col("d") - need[side] + 1, F.lit(0)).cast("int")
+    among = F.when(F.col("near"), 0).otherwise(prefix("far")).alias("among")
+    across = F.when(F.col("near"), prefix("far")).otherwise(prefix("near")).alias("across")
+    return work.cut(mixed.select("g", "a", "b", "root", "d", "e", "near", among, across).where("among > 0 OR across > 0"))
+
+
+def linked_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: tuple[int, int], work: Scratch) -> DataFrame | None:
+    """Shared table keys (key, id) to (id, root) over confirmed links, null without any.
+
+    sets_of: makes the shingle sets of a table of ids.
     """
     num, den = similarity
-    longs, mean = -(-minhashes // 8), minhashes * num / den
-    enough = int(mean - 4 * (mean * (1 - num / den)) ** 0.5) + 8 * longs - minhashes
-    crowd = Window.partitionBy("key")
     is_link = F.col("both") * den >= (F.col("n_a") + F.col("n_b") - F.col("both")) * num
-    live = cut(keys.withColumn("c", F.count(F.lit(1)).over(crowd)).where("c > 1"))
-    central = live.groupBy("id").agg(F.sum("c").alias("cent"))
-    sets = sets_of(central.select("id"))
-    led = live.join(central, "id").withColumn("leader", F.first("id").over(crowd.orderBy(F.desc("cent"), "id")))
-    stars = cut(compared(led.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), sets))
-    links = stars.where(is_link).select("a", "b")
-    roots = components(links)
-
-    # Members of a leader that are in different components.
-    def mixed(df: DataFrame, by: list[str]) -> DataFrame:
-        w = Window.partitionBy(*by)
-        return df.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w)}).where("low < high").drop("low", "high")
-
-    rest = stars.join(roots.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"), F.col("both").alias("s"), F.col("n_b").alias("n"))
-    groups = rest.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least"), F.count(F.lit(1)).alias("size"))
-    rest = rest.join(groups.where("low < high").drop("low", "high"), "a").withColumn("spare", F.col("s") * (num + den) - F.col("n") * num)
-    rest = cut(rest.join(sketch_of.withColumnRenamed("id", "b"), "b"))
-
-    def sides(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
-        return tuple(df.select("a", *[c for c in columns if c == "shingle"], *[F.col(c).alias(f"{c}_{side}") for c in columns if c != "shingle"]) for side in "xy")
-
-    alike = _agreeing(F.col("sketch_x"), F.col("sketch_y"), longs) >= enough
-    pair = (F.col("b_x").alias("x"), F.col("b_y").alias("y"))
-    reach = lambda common: common * (num + den) >= (F.col("n_x") + F.col("n_y")) * num
-    x, y = sides(rest.where(F.col("size") <= SMALL), "b", "root", "s", "n", "sketch")
-    common = F.least("s_x", "s_y") + F.least(F.col("n_x") - F.col("s_x"), F.col("n_y") - F.col("s_y"))
-    few = x.join(y, "a").where((F.col("root_x") < F.col("root_y")) & reach(common) & alike).select(*pair)
-    large = rest.where(F.col("size") > SMALL)
-    x, y = sides(large, "b", "root", "s", "n", "spare", "least", "sketch")
-    by_size = x.where(F.col("spare_x") >= num * F.col("least_x")).join(y, "a").where((F.col("root_x") != F.col("root_y")) & (F.col("s_x") <= F.col("s_y")) & (F.col("spare_x") >= num * F.col("n_y")) & alike).select(*pair)
-    shared = Window.partitionBy("a", "shingle")
-    others = _by_leader(large.select("a", "b", "root"), sets).mapInArrow(lambda it: _others(it, num, den), "a bigint, b bigint, shingle bigint, root bigint")
-    others = cut(mixed(others, ["a", "shingle"]))
-    # Each such shingle is a bucket again: first its most central member against the others, then what is still apart.
-    order = shared.orderBy(F.desc("cent"), "b")
-    company = others.withColumn("c", F.count(F.lit(1)).over(shared)).withColumn("cent", F.sum("c").over(Window.partitionBy("a", "b")))
-    company = company.withColumns({"head": F.first("b").over(order), "head_root": F.first("root").over(order)}).where("root <> head_root")
-    heads = company.select(F.col("head").alias("a"), "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    again = cut(compared(heads, sets).where(is_link).select("a", "b"))
-    links = links.unionByName(again)
-    if not again.isEmpty():
-        roots = components(links)
-        fresh = roots.select(F.col("id").alias("b"), F.col("root").alias("new"))
-        others = cut(mixed(others.join(fresh, "b", "left").withColumn("root", F.coalesce("new", "root")).drop("new"), ["a", "shingle"]))
-    prefix = others.groupBy("a", "b").agg(F.collect_set("shingle").alias("prefix"))
-    x, y = sides(others.join(large.select("a", "b", "sketch"), ["a", "b"]).join(prefix, ["a", "b"]), "shingle", "b", "root", "sketch", "prefix")
-    first = F.array_min(F.array_intersect("prefix_x", "prefix_y")) == F.col("shingle")  # each pair once
-    by_shingle = x.join(y, ["a", "shingle"]).where((F.col("root_x") < F.col("root_y")) & alike & first).select(*pair)
-    pairs = few.unionByName(by_size).unionByName(by_shingle).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = cut(compared(pairs, sets).where(is_link).select("a", "b"))
-    return roots if more.isEmpty() else components(links.unionByName(more))
+    rows, roots, sets = keys.select(F.lit(0).cast("bigint").alias("g"), "key", "id", F.col("id").alias("root"), F.lit(AMONG).cast("bigint").alias("kind")), None, None
+    side = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    company = [F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("c"), side(F.col("kind") == FAR).alias("far"), side(F.col("kind") == NEAR).alias("close")]
+    small = ((F.col("kind") == AMONG) & (F.col("c") <= LEAF)) | ((F.col("kind") != AMONG) & (F.least("far", "close") <= FEW))
+    while True:
+        met = with_group(rows, ["g", "key"], ["id"], company, "low < high AND (far > 0) = (close > 0)").drop("low", "high")
+        live = work.cut(met.withColumn("small", F.lit(False) if roots is None else small))
+        if live.isEmpty():
+            return roots
+        if roots is not None:
+            links = compared(_leaf_pairs(live.where("small"), similarity, work), sets).where(is_link).select("a", "b")
+            roots = _joined_roots(roots, links, work)
+            live = live.where("NOT small")
+            if live.isEmpty():
+                return roots
+        if sets is None:
+            sets = sets_of(live.select("id").distinct())
+        stars = work.cut(compared(_stars(live, work), sets))
+        roots = _joined_roots(roots, stars.where(is_link).select("a", "b"), work)
+        open_pairs = _open_pairs(stars, roots, similarity, work)
+        if open_pairs.isEmpty():
+            return roots
+        dealt = _by_leader(open_pairs, sets, work.cut(_frequent(open_pairs, sets)))
+        rows = work.cut(dealt.mapInArrow(_differences, "g bigint, key bigint, id bigint, root bigint, d bigint, e bigint, kind bigint"))
+
+
+def groups(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, halves: int = HALVES, per_half: int = PER_HALF) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, component_id (smallest id of its group), leads (the row has the group's smallest key)."""
+    spark = docs.sparkSession
+    work = Scratch(spark, "near-dup")
+    signed = work.cut(signatures(docs, words, halves, per_half))
+    key = F.struct("doc_id", "text_hash")
+    some = signed.where("n_shingles > 0").withColumn("cell", cell_of("doc_id", "text_hash"))
+    reps = some.groupBy("k1", "k2").agg(F.min(key).alias("least"), F.any_value("halves").alias("halves"), cells_seen(F.col("cell")).alias("cells"))
+    reps = work.cut(reps.withColumn("id", F.monotonically_increasing_id()))  # numbers are fixed once written
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = reps.join(ids, "id").select("id", "least.doc_id", "least.text_hash")
+        rows = keyed_texts(docs).join(wanted.hint("merge"), ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+        return work.cut(rows.select("id", "text").mapInArrow(lambda it: _set_rows(it, words), "id bigint, shingles binary"))
+
+    roots = linked_groups(table_keys(reps, halves, work), sets_of, similarity, work)
+    found = reps.select("k1", "k2", "id", "least", "cells")
+    if roots is None:
+        found = found.withColumn("first", F.col("least"))
+    else:
+        linked = work.cut(roots.join(reps.select("id", "least"), "id"))
+        firsts = with_group(linked, ["root"], ["id"], [F.min("least").alias("first")]).select("id", "first")
+        found = found.join(firsts, "id", "left").withColumn("first", F.coalesce("first", "least"))
+    found = found.select("k1", "k2", each_cell(F.col("cells")).alias("cell"), "first")
+    out = some.drop("halves").join(found, ["k1", "k2", "cell"]).select("doc_id", "text_hash", "n_shingles", "first")
+    out = out.unionByName(signed.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", key.alias("first")))
+    out = cut(out.select("doc_id", "text_hash", "n_shingles", F.col("first.doc_id").alias("component_id"), (F.col("first") == key).alias("leads")))
+    work.clear()
+    return out
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, halves: int = HALVES, per_half: int = PER_HALF) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest id of its group)."""
-    spark = docs.sparkSession
-    signed = cut(signatures(docs, words, halves, per_half))
-    reps = cut(signed.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.any_value("halves").alias("halves"), F.any_value("sketch").alias("sketch")))
-    keys = reps.select("id", "halves").mapInArrow(lambda it: _keys(it, halves), "key bigint, id bigint")
+    return restored(groups(docs, words, similarity, halves, per_half).select("doc_id", "n_shingles", "component_id"), "doc_id", "component_id")
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        path = shared_path(spark, "shingle-sets")
-        texts(docs).join(ids.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi").mapInArrow(lambda it: _set_rows(it, words), "id bigint, shingles binary").write.parquet(path)
-        return spark.read.parquet(path)
 
-    roots = linked_groups(keys, sets_of, reps.select("id", "sketch"), 2 * halves * per_half, similarity)
-    grouped = reps.select("k1", "k2", "id").join(roots, "id", "left").select("k1", "k2", F.coalesce("root", "id").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "k1", "k2").join(grouped, ["k1", "k2"], "left")
-    return restored(out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "doc_id", "component_id")
+def leaders(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """The documents with all their columns, one row of each group: the smallest id's, of a document given twice one. Texts without words stay."""
+    found = groups(docs, words, similarity).where("leads").groupBy("doc_id", "text_hash").agg(F.max("n_shingles").alias("size"))
+    rows = row_keys(docs).join(found.hint("merge"), ["doc_id", "text_hash"])
+    apart = F.when(F.col("size") == 0, F.monotonically_increasing_id()).alias("apart")
+    return rows.groupBy("doc_id", "text_hash", apart).agg(F.any_value("row").alias("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"), words=2)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def brute_force(docs: list[tuple[int, str]], words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> list[tuple]:
-    """The same result from all pairs, for tests."""
+def brute_force(docs: list[tuple[int | None, str | None]], words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> list[tuple]:
+    """The same result from all pairs of rows, for tests."""
     import re
 
-    sets = {}
-    for doc_id, text in docs:
-        w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        sets[doc_id] = {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
-    root = {i: i for i in sets}
+    docs = sorted(((NO_ID if i is None else i, t or "") for i, t in docs))
+    sets = []
+    for _, text in docs:
+        w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        sets.append({tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set())
+    root = list(range(len(docs)))
 
     def top(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    ids = sorted(i for i in sets if sets[i])
-    for x, i in enumerate(ids):
-        for j in ids[x + 1 :]:
+    some = [i for i, s in enumerate(sets) if s]
+    for x, i in enumerate(some):
+        for j in some[x + 1 :]:
             a, b = sets[i], sets[j]
             if min(len(a), len(b)) * similarity[1] < max(len(a), len(b)) * similarity[0]:
                 continue
@@ -295,4 +399,5 @@ def brute_force(docs: list[tuple[int, str]], words: int = WORDS, similarity: tup
             if both * similarity[1] >= (len(a) + len(b) - both) * similarity[0]:
                 x1, x2 = sorted((top(i), top(j)))
                 root[x2] = x1
-    return sorted((i, len(sets[i]), top(i)) for i in sets)
+    shown = lambda i: None if i == NO_ID else i
+    return [(shown(docs[i][0]), len(sets[i]), shown(docs[top(i)][0])) for i in range(len(docs))]

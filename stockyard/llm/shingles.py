@@ -82,17 +82,3 @@ def tensor_halves(minhashes: np.ndarray, per_half: int) -> np.ndarray:
             h = mix(h * _A + row)
         halves[j] = h
     return halves.T
-
-
-def sketches(minhashes: np.ndarray) -> np.ndarray:
-    """The top eight bits of each minhash, eight to a long; places that are left over are 0: (texts, longs)."""
-    count, n = minhashes.shape
-    out = np.zeros((n, -(-count // 8) * 8), np.uint8)
-    out[:, :count] = (mix(minhashes) >> np.uint64(56)).astype(np.uint8).T
-    return out.view("<u8")
-
-
-def table_keys(halves: np.ndarray) -> np.ndarray:
-    """Keys of all tables: each half of the first collection with each of the second: (texts, tables)."""
-    m = halves.shape[1] // 2
-    return mix(halves[:, :m, None] * _A + halves[:, None, m:] * _B).reshape(len(halves), m * m)

@@ -190,13 +190,12 @@ def test_licence_chains_cover_templates():
 
 def _led(members: dict[int, tuple[set[int], int]], own: set[int], parts: int):
     """Batches as near_dup._with_leader reads them, three rows each."""
-    import pyarrow as pa
-
     blob = lambda x: np.array(sorted(x), "<u8").tobytes()
-    rows = [(7, 0, None, blob(own), parts, None)] + [(7, 0, b, blob(x), parts, root) for b, (x, root) in sorted(members.items())]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    rows = [(7, 0, 1, None, blob(own), parts, [], *[None] * 6)] + [(7, 0, 1, b, blob(x), parts, None, root, 1, 2, False, 100, 0) for b, (x, root) in sorted(members.items())]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()]
+    names = ["g", "part", "a", "b", "shingles", "parts", "frequent", "root", "d", "e", "near", "among", "across"]
     for k in range(0, len(rows), 3):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 3], strict=True), kinds, strict=True)], names=["a", "part", "b", "shingles", "parts", "root"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 3], strict=True), kinds, strict=True)], names=names)
 
 
 @pytest.mark.parametrize(("parts", "most"), [(1, 1000), (1, 5), (2, 1000), (2, 5)])
@@ -204,13 +203,13 @@ def test_lone_shingles_leave_early_only_where_all_members_are_seen(parts, most):
     from stockyard.llm import near_dup
 
     own = set(range(80))
-    # 1 and 2 share a shingle and a root, 3 and 4 a shingle of different roots, 5 has no company
-    members = {1: (own | {100, 101}, 1), 2: (own | {100, 102}, 1), 3: (own | {103, 104}, 3), 4: (own | {103, 105}, 4), 5: (own | {106, 107}, 5)}
-    out = [r for b in near_dup._others(_led(members, own, parts), 80, 100, most) for r in b.to_pylist()]
+    # 1 and 2 share a shingle and a root, 3 and 4 lack one and have another, of different roots, 5 has no company
+    members = {1: (own | {100, 101}, 1), 2: (own | {100, 102}, 1), 3: (own - {1} | {103, 104}, 3), 4: (own - {1} | {103, 105}, 4), 5: (own | {106, 107}, 5)}
+    out = [r for b in near_dup._differences(_led(members, own, parts), most) for r in b.to_pylist()]
     by_shingle: dict[int, list[tuple[int, int]]] = {}
     for r in out:
-        by_shingle.setdefault(r["shingle"], []).append((r["b"], r["root"]))
+        by_shingle.setdefault(r["key"], []).append((r["id"], r["root"]))
     shared = sorted(sorted(x) for x in by_shingle.values() if len({root for _, root in x}) > 1)
-    assert shared == [[(3, 3), (4, 4)]]
-    assert len(out) == (2 if (parts, most) == (1, 1000) else 10)
-    assert {r["a"] for r in out} == {7}
+    assert shared == [[(3, 3), (4, 4)]] * 2
+    assert len(out) == (4 if (parts, most) == (1, 1000) else 12)
+    assert {r["g"] for r in out} == {7}
