@@ -7,10 +7,9 @@ stage's docs. All but the last return the columns of documents; extra columns pa
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stockyard.llm import decontaminate, line_dedup, near_dup, packing, toxicity
-from stockyard.llm.common import NO_ID, read, shared_path
+from stockyard.llm.common import read, shared_path
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,11 +23,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
-    found = near_dup.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    good = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return marked.join(good.hint("merge"), "_id", "left_semi").select(*docs.columns)
+    """One document of each near-duplicate group stays, the one with the smallest id; of a document given twice, one row."""
+    return near_dup.leaders(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
