@@ -14,11 +14,11 @@ Two texts miss each other in all tables only if all halves of one collection dif
    unless both are linked with the leader. Hence a prefix of D(x) must hold a common shingle: a short one where both are
    far from the leader, a longer one where one is near it, in an order that puts the group's frequent shingles last.
    Shingles that members of different components share are the buckets of the next level, inside their group: those of
-   up to LEAF members (or FEW on the near or the far side) end there, with the pairs that such an overlap allows, larger
-   ones go on as in step 2. A level's groups are smaller than those they come from, as each loses its leader, and the
-   last level has none.
+   up to LEAF members end there, where the overlaps of whole D(x) tell the links exactly (buckets with the same members
+   once), larger ones go on as in step 2. A level's groups are smaller than those they come from, as each loses its
+   leader, and the last level has none.
 
-Pairs are only formed in such small buckets, so work grows with the rows of the buckets. Null, empty and space-only texts have an empty
+Null, empty and space-only texts have an empty
 set and link with nothing; texts with fewer words than a shingle are one shingle. Rows are told apart by id and text
 hash, so rows without an id, or with the id of another text, link as rows of their own; rows equal in both are one
 document given twice. Extra columns are ignored; an empty table gives an empty result.
@@ -42,11 +42,12 @@ SIMILARITY = (80, 100)
 HALVES = 12
 PER_HALF = 3
 #: Members that are compared with one leader in one task.
-GROUP = 1000
-#: Members of a bucket of differing shingles that are compared in pairs; larger buckets are divided again.
+GROUP = 250
+#: Members of a bucket of differing shingles that are compared in one task; larger buckets are divided again.
 LEAF = 128
-#: The same where only members near the group's leader can be linked with those far from it: members of the smaller side.
+#: Buckets in which only near and far members are compared may hold WIDE members if one side has FEW.
 FEW = 16
+WIDE = 1024
 #: Shingles count as frequent in a group if more than FREQUENT and one in RARE of its members have them in D.
 FREQUENT = 16
 RARE = 1000
@@ -150,10 +151,12 @@ def _counts(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.
 
 #: Kinds of buckets and members: far members among themselves, far ones that near ones may be linked with, near ones.
 AMONG, FAR, NEAR = range(3)
+DEALT = "g bigint, key bigint, id bigint, root bigint, d bigint, e bigint, kind bigint, apart binary"
+_DEALT = pa.schema([(c, pa.int64()) for c in ("g", "key", "id", "root", "d", "e", "kind")] + [("apart", pa.binary())])
 
 
 def _differences(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
-    """Per member and kind of bucket, the given number of shingles of D, the frequent ones last.
+    """Per member its D, and by kind of bucket the given number of shingles of D, the frequent ones last.
 
     Where a group has one part, shingles without company are left out here already, unless the part holds more than
     `most` of them; they are left out after the shuffle in any case.
@@ -175,7 +178,13 @@ def _differences(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterato
             keep = differ(keys, roots) & ((kinds == AMONG) | differ(keys, kinds))
             columns = [c[keep] for c in columns]
         if len(columns[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), group)), *map(pa.array, columns)], names=["g", "key", "id", "root", "d", "e", "kind"])
+            n = len(columns[0])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, group)), *map(pa.array, columns), pa.nulls(n, pa.binary())], schema=_DEALT)
+
+    def wholes(g: int, sets: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        n = len(sets)
+        none = [pa.nulls(n, pa.int64()) for _ in range(4)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, g)), pa.nulls(n, pa.int64()), pa.array([b for b, _ in sets], pa.int64()), *none, pa.array([x.tobytes() for _, x in sets], pa.binary())], schema=_DEALT)
 
     group, whole, size = None, False, 0
     for g, parts, _, own, frequent, members in _with_leader(batches):
@@ -183,6 +192,7 @@ def _differences(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterato
             if held:
                 yield from rows(whole)
             group, whole, size = g, parts == 1, 0
+        yield from wholes(g, [(b, _apart(x, own)) for b, x, *_ in members])
         last = np.array(frequent, np.int64).view(np.uint64)
         order = np.argsort(last)
         for b, x, root, d, e, near, among, across in members:
@@ -243,15 +253,51 @@ def _stars(live: DataFrame, work: Scratch) -> DataFrame:
     return work.cut(led.where(a != F.col("id")).select(F.xxhash64("g", a).alias("g"), a.alias("a"), F.col("id").alias("b")).distinct())
 
 
-def _leaf_pairs(live: DataFrame, similarity: tuple[int, int], work: Scratch) -> DataFrame:
-    """Buckets of few members (g, key, id, root, d, e) to (g, a, b): each pair of different components that may be linked, once."""
-    num, den = similarity
-    x, y = (live.select("g", "key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "d", "e", "kind")]) for side in "xy")
-    able = F.col("e_x") + F.col("e_y") <= F.least("d_x", "d_y") * (2 * (num + den))
-    order = F.when(F.col("kind_x") == AMONG, F.col("id_x") < F.col("id_y")).otherwise((F.col("kind_x") == FAR) & (F.col("kind_y") == NEAR))
-    met = x.join(y, ["g", "key"]).where(order & (F.col("root_x") != F.col("root_y")) & able)
-    met = met.select(F.least("id_x", "id_y").alias("id_x"), F.greatest("id_x", "id_y").alias("id_y"))
-    return work.cut(met.select(F.col("id_x").alias("g"), F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
+def _linked(bucket: list[tuple], per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links in one bucket of (id, root, e, kind, D): those whose D share enough."""
+    ids, roots, es, kinds = (np.array(c, np.int64) for c in list(zip(*bucket, strict=True))[:4])
+    sets = [np.frombuffer(x[4], "<u8") for x in bucket]
+    far, near = np.flatnonzero(kinds == FAR), np.flatnonzero(kinds == NEAR)
+    a, b = (np.arange(len(ids)),) * 2 if not len(near) else sorted((far, near), key=len)
+    universe = np.unique(np.concatenate([sets[k] for k in a]))
+    held = []
+    for side in (a, b):
+        m = np.zeros((len(side), len(universe)), np.float32)
+        for row, k in enumerate(side):
+            at = np.minimum(np.searchsorted(universe, sets[k]), len(universe) - 1)
+            m[row, at[universe[at] == sets[k]]] = 1
+        held.append(m)
+    shared = (held[0] @ held[1].T).astype(np.int64)
+    x, y = np.nonzero((shared * per_shingle >= es[a][:, None] + es[b][None, :]) & (roots[a][:, None] != roots[b][None, :]))
+    return ids[a[x]], ids[b[y]]
+
+
+def _leaf_links(batches: Iterator[pa.RecordBatch], per_shingle: int) -> Iterator[pa.RecordBatch]:
+    """Rows (g, s, t, id, root, e, kind, apart) sorted by bucket (g, s, t) to links."""
+    bucket, held = None, []
+
+    def links() -> Iterator[pa.RecordBatch]:
+        a, b = _linked(held, per_shingle)
+        held.clear()
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    for batch in batches:
+        for g, s, t, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != (g, s, t):
+                if held:
+                    yield from links()
+                bucket = (g, s, t)
+            held.append(row)
+    if held:
+        yield from links()
+
+
+def _in_leaves(live: DataFrame, wholes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Small buckets (g, s, t, id, root, e, kind), s and t naming their members, to links (a, b) of different components."""
+    rows = live.select("g", "s", "t", "id", "root", "e", "kind").distinct().join(wholes, ["g", "id"])
+    rows = rows.select("g", "s", "t", "id", "root", "e", "kind", "apart").repartition("g", "s", "t").sortWithinPartitions("g", "s", "t")
+    return rows.mapInArrow(lambda it: _leaf_links(it, 2 * sum(similarity)), "a bigint, b bigint").distinct()
 
 
 def _joined_roots(roots: DataFrame | None, links: DataFrame, work: Scratch) -> DataFrame:
@@ -299,17 +345,18 @@ def linked_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
     num, den = similarity
     is_link = F.col("both") * den >= (F.col("n_a") + F.col("n_b") - F.col("both")) * num
     rows, roots, sets = keys.select(F.lit(0).cast("bigint").alias("g"), "key", "id", F.col("id").alias("root"), F.lit(AMONG).cast("bigint").alias("kind")), None, None
+    wholes = None
     side = lambda test: F.sum(F.when(test, 1).otherwise(0))
     company = [F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("c"), side(F.col("kind") == FAR).alias("far"), side(F.col("kind") == NEAR).alias("close")]
-    small = ((F.col("kind") == AMONG) & (F.col("c") <= LEAF)) | ((F.col("kind") != AMONG) & (F.least("far", "close") <= FEW))
+    company += [F.bit_xor(F.xxhash64(F.lit(salt), "kind", "id")).alias(name) for name, salt in (("s", 1), ("t", 2))]
+    small = (F.col("c") <= LEAF) | ((F.col("kind") != AMONG) & (F.least("far", "close") <= FEW) & (F.col("c") <= WIDE))
     while True:
         met = with_group(rows, ["g", "key"], ["id"], company, "low < high AND (far > 0) = (close > 0)").drop("low", "high")
         live = work.cut(met.withColumn("small", F.lit(False) if roots is None else small))
         if live.isEmpty():
             return roots
         if roots is not None:
-            links = compared(_leaf_pairs(live.where("small"), similarity, work), sets).where(is_link).select("a", "b")
-            roots = _joined_roots(roots, links, work)
+            roots = _joined_roots(roots, work.cut(_in_leaves(live.where("small"), wholes, similarity)), work)
             live = live.where("NOT small")
             if live.isEmpty():
                 return roots
@@ -321,7 +368,8 @@ def linked_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
         if open_pairs.isEmpty():
             return roots
         dealt = _by_leader(open_pairs, sets, work.cut(_frequent(open_pairs, sets)))
-        rows = work.cut(dealt.mapInArrow(_differences, "g bigint, key bigint, id bigint, root bigint, d bigint, e bigint, kind bigint"))
+        dealt = work.cut(dealt.mapInArrow(_differences, DEALT))
+        rows, wholes = dealt.where("apart IS NULL").drop("apart"), dealt.where("apart IS NOT NULL").select("g", "id", "apart")
 
 
 def groups(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, halves: int = HALVES, per_half: int = PER_HALF) -> DataFrame:

@@ -146,6 +146,8 @@ def test_near_duplicate_families(spark, monkeypatch):
     """Centres, their variants, copies of variants and cut copies, all in few groups: with small parts forced."""
     monkeypatch.setattr(near_dup, "GROUP", 16)
     monkeypatch.setattr(near_dup, "LEAF", 16)
+    monkeypatch.setattr(near_dup, "WIDE", 40)
+    monkeypatch.setattr(near_dup, "FEW", 3)
     monkeypatch.setattr(near_dup, "FREQUENT", 6)
     rng = random.Random(11)
     word = lambda: "".join(rng.choices("abcdefghij", k=4))
