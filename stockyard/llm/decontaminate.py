@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, NO_ID, keep_rows, mix, read, restored, slices, text_bytes, texts, word_hashes, word_spans
+from .common import LOWER, NO_ID, keep_rows, keyed_texts, mix, read, restored, slices, text_bytes, texts, word_hashes, word_spans
 from .license_scan import GAPS
 
 WORDS_PER_ERROR = 8
@@ -176,6 +176,14 @@ def _search(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.list_(pa.int64())), pa.array([r[2] for r in out], pa.int64())], names=["doc_id", "item_ids", "distance"])
 
 
+def _search_keyed(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text_hash, text); the results keep the order of the rows."""
+    for batch in batches:
+        found = pa.Table.from_batches(_search(iter([batch.select([0, 2])]), items)).combine_chunks().to_batches()
+        for part in found:
+            yield pa.RecordBatch.from_arrays([batch.column(1), *part.columns], names=["text_hash", *part.schema.names])
+
+
 def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark in blocks of about BLOCK_ITEMS items, each small enough for every task."""
     items = texts(benchmark, "item_id")
@@ -200,16 +208,17 @@ def shown(found: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: doc_id, item_ids (sorted, null first, of the items found in it), distance (least word edits, null without an item)."""
-    rows = texts(docs)
-    parts = [rows.mapInArrow(lambda it, items=items: _search(it, items), "doc_id bigint, item_ids array<bigint>, distance bigint") for items in item_blocks(benchmark)]
-    if len(parts) == 1:
-        return shown(parts[0])
-    tagged = [p.withColumn("row", F.monotonically_increasing_id()) for p in parts]  # the same row order in each block
-    every = tagged[0]
-    for p in tagged[1:]:
-        every = every.unionByName(p)
-    joined = every.groupBy("doc_id", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.min("distance").alias("distance"))
-    return shown(joined.drop("row"))
+    kind = "doc_id bigint, item_ids array<bigint>, distance bigint"
+    blocks = list(item_blocks(benchmark))
+    if len(blocks) == 1:
+        return shown(texts(docs).mapInArrow(lambda it: _search(it, blocks[0]), kind))
+    every = None
+    for k, items in enumerate(blocks):
+        found = keyed_texts(docs).mapInArrow(lambda it, items=items: _search_keyed(it, items), f"text_hash bigint, {kind}").withColumn("block", F.lit(k))
+        every = found if every is None else every.unionByName(found)
+    # A row is named by its id and text hash, which hold however often and in what order the texts are read.
+    joined = every.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"), F.min("distance").alias("distance"), F.sum(F.when(F.col("block") == 0, 1)).alias("times"))
+    return shown(joined.select("doc_id", "item_ids", "distance", F.explode(F.sequence(F.lit(1), "times")).alias("time")).drop("time"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,23 @@
 
 Lines are compared without surrounding white space; lines without a word are skipped. A window is the shortest run of
 lines that holds MIN_WORDS words and starts, or ends, at a line, so a long line is a window of its own and short lines
-need company. Each window selects its least line hash as fingerprint: texts that share a window share the fingerprint.
-Fingerprints with equal windows are joined with the first occurrence (smallest doc_id, then line), and all windows but
-the first are deleted. Of any run with MIN_WORDS words that stands at an earlier place too, this deletes every line: the
-lines up to the end of the window that starts the run are in it, and at each later line a window of the run ends. So a
-run is held against all earlier places, not against one partner. Short repeated lines alone stay, and so do lines
-without a word between two lines that are windows of their own.
-
-A null or empty text has no lines; a null id is the smallest id. Rows that repeat an id with the same text are one
-document given twice. A text without removals is returned as it is; extra columns are ignored by `runs` and kept by
-`dedup_lines`.
+need company.
+
+1. Each window selects its least line hash, the last of equal ones, as fingerprint. Texts that share a window select the
+   same line of it, so fingerprints are guaranteed for every shared run of MIN_WORDS words; neighbouring windows mostly
+   select the same line, which is one row.
+2. Places of equal fingerprints are joined; fingerprints with one place leave here, with all their windows.
+3. Matches are extended to both sides window by window: of the windows around the fingerprints that are left, equal ones
+   are grouped, and all but the first (smallest doc_id, text hash, line) are deleted.
+
+Of any run with MIN_WORDS words that stands at an earlier place too, this deletes every line: the lines up to the end of
+the window that starts the run are in it, and at each later line a window of the run ends. So a run is held against all
+earlier places, not against one partner. Short repeated lines alone stay, and so do lines without a word between two
+lines that are windows of their own.
+
+A null or empty text has no lines; a null id is the smallest id. Rows are told apart by id and text hash: texts that share
+an id, or have none, are documents of their own; rows equal in both are one document given twice. A text without removals
+is returned as it is; very long texts are rows like others. Extra columns are ignored by `runs` and kept by `dedup_lines`.
 """
 
 from __future__ import annotations
@@ -25,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, read, restored, text_bytes, texts
+from .common import cut, keyed_texts, read, restored, row_keys, text_bytes, with_group
 
 MIN_WORDS = 20
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-WINDOWS = "fp bigint, window bigint, doc_id bigint, line int, n int"
+FINGERPRINTS = "fp bigint, doc_id bigint, text_hash bigint, place int, windows array<struct<window:bigint,line:int,n:int>>"
+KEY = ["doc_id", "text_hash"]
 
 
 def line_hashes(text: bytes) -> tuple[list[int], list[int], list[int]]:
@@ -48,51 +56,58 @@ def line_hashes(text: bytes) -> tuple[list[int], list[int], list[int]]:
 
 
 def windows(hashes: list[int], counts: list[int], min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int]]:
-    """(first line, lines, fingerprint) of each window, once: those by first line, then those that only end at a line."""
+    """(first line, lines, place of the fingerprint) of each window, once: those by first line, then those that only end at a line."""
     total, ends, end = [0, *accumulate(counts)], [], 0
+    least = lambda i, end: i if end == i + 1 else end - 1 - hashes[i:end][::-1].index(min(hashes[i:end]))
     for i in range(len(hashes)):
         while end < len(hashes) and total[end] - total[i] < min_words:
             end += 1
         if total[end] - total[i] < min_words:
             break
         ends.append(end)
-        yield i, end - i, min(hashes[i:end])
+        yield i, end - i, least(i, end)
     i = 0
     for end in range(ends[0] if ends else len(total), len(total)):
         while total[end] - total[i + 1] >= min_words:
             i += 1
         if ends[i] != end:
-            yield i, end - i, min(hashes[i:end])
+            yield i, end - i, least(i, end)
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        off, data = text_bytes(batch.column(1))
-        out = []
-        for k, doc_id in enumerate(ids):
+        ids = [batch.column(k).to_pylist() for k in (0, 1)]
+        off, data = text_bytes(batch.column(2))
+        rows, inner, sizes = [], [], []
+        for k, key in enumerate(zip(*ids, strict=True)):
             _, hashes, counts = line_hashes(data[off[k] : off[k + 1]].tobytes())
             raw = np.array(hashes, np.int64)
-            for i, n, fp in windows(hashes, counts, min_words):
-                out.append((fp, xxhash.xxh3_64_intdigest(raw[i : i + n].tobytes(), seed=n) - 2**63, doc_id, i, n))
-        if out:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["fp", "window", "doc_id", "line", "n"])
+            held: dict[int, list[tuple[int, int, int]]] = {}
+            for i, n, place in windows(hashes, counts, min_words):
+                held.setdefault(place, []).append((xxhash.xxh3_64_intdigest(raw[i : i + n].tobytes(), seed=n) - 2**63, i, n))
+            for place, found in held.items():
+                rows.append((hashes[place], *key, place))
+                sizes.append(len(found))
+                inner += found
+        if rows:
+            fields = [pa.array(c, t) for c, t in zip(zip(*inner, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.StructArray.from_arrays(fields, ["window", "line", "n"]))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, lists], names=["fp", *KEY, "place", "windows"])
 
 
 def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id and spans (array of line, n, source, source_line): windows that stand at an earlier place too, in lines that hold a word."""
-    rows = texts(docs).mapInArrow(lambda it: _window_rows(it, min_words), WINDOWS)
-    first = (
-        rows.groupBy("fp", "window")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "line")).alias("first"))
-        .where("times > 1")
-    )
-    met = rows.join(first, ["fp", "window"]).where("doc_id <> first.doc_id OR line <> first.line")
-    found = met.select("doc_id", F.struct("line", "n", F.col("first.doc_id").alias("source"), F.col("first.line").alias("source_line")).alias("span"))
-    return found.groupBy("doc_id").agg(F.sort_array(F.collect_list("span")).alias("spans"))
+    """doc_id, text_hash and spans (array of line, n, source, source_line): windows that stand at an earlier place too, in lines that hold a word."""
+    rows = keyed_texts(docs).mapInArrow(lambda it: _fingerprints(it, min_words), FINGERPRINTS)
+    several = F.count(F.lit(1))
+    met = with_group(rows, ["fp"], [*KEY, "place"], [several.alias("times")], "times > 1")
+    around = cut(met.select("fp", *KEY, F.explode("windows").alias("w")).select("fp", "w.window", *KEY, "w.line", "w.n"))
+    place = F.struct(*KEY, "line")
+    again = with_group(around, ["fp", "window"], [*KEY, "line"], [several.alias("times"), F.min(place).alias("first")], "times > 1").where(place != F.col("first"))
+    found = again.select(*KEY, F.struct("line", "n", F.col("first.doc_id").alias("source"), F.col("first.line").alias("source_line")).alias("span"))
+    return found.groupBy(*KEY).agg(F.sort_array(F.collect_set("span")).alias("spans"))
 
 
 #: Rows whose texts are rewritten together.
@@ -133,15 +148,15 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Per document: doc_id, kept (text), n_removed (lines with a word), n_runs, removed (line ranges)."""
-    joined = texts(docs).join(runs(docs, min_words).hint("merge"), "doc_id", "left").select("doc_id", "text", "spans")
+    joined = keyed_texts(docs).join(runs(docs, min_words).hint("merge"), KEY, "left").select("doc_id", "text", "spans")
     return restored(joined.mapInArrow(_apply, "doc_id bigint, kept string, n_removed bigint, n_runs bigint, removed array<struct<start:bigint,end:bigint>>"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, text without the repeated runs and n_chars (if there) to match."""
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    found = runs(docs, min_words).withColumnRenamed("doc_id", "_id").withColumnRenamed("spans", "_spans")
-    names = docs.columns
+    names, extra = docs.columns, "spans"
+    while extra in names:
+        extra += "_"
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
@@ -160,7 +175,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         columns[chars] = pc.if_else(changed, pc.utf8_length(new).cast(columns[chars].type), columns[chars])
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = marked.join(found.hint("merge"), "_id", "left").select(*names, "_spans")
+    joined = row_keys(docs).join(runs(docs, min_words).hint("merge"), KEY, "left").select("row.*", F.col("spans").alias(extra))
     return joined.mapInArrow(rewrite, docs.schema)
 
 
@@ -169,12 +184,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.length("kept").cast("long").alias("n_chars_kept"), "n_removed", "n_runs", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def brute_force(docs: list[tuple[int, str | None]], min_words: int = MIN_WORDS) -> dict[int, str]:
-    """The kept texts by comparing every line with all earlier places along both texts, for tests."""
-    every = {i: [(k, x.strip(" \t\n\v\f\r"), len(x.split())) for k, x in enumerate((t or "").split("\n")) if re.search(r"[^ \t-\r]", x)] for i, t in docs}
-    places: dict[str, list[tuple[int, int]]] = {}
-    out = {}
-    for i, text in sorted(dict(docs).items()):
+def brute_force(docs: list[tuple[int | None, str | None]], min_words: int = MIN_WORDS) -> list[tuple[int | None, str]]:
+    """(id, kept text) by comparing every line with all earlier places along both texts, for tests."""
+    import xxhash
+
+    rows = {(-(2**63) if i is None else i, (xxhash.xxh64_intdigest((t or "").encode(), 42) + 2**63) % 2**64 - 2**63): t or "" for i, t in docs}
+    every = {i: [(k, x.strip(" \t\n\v\f\r"), len(x.split())) for k, x in enumerate(t.split("\n")) if re.search(r"[^ \t-\r]", x)] for i, t in rows.items()}
+    places: dict[str, list[tuple]] = {}
+    out = []
+    for i, text in sorted(rows.items()):
         lines, gone = every[i], set()
         for a in range(len(lines)):
             for j, c in places.get(lines[a][1], []):
@@ -190,5 +208,5 @@ def brute_force(docs: list[tuple[int, str | None]], min_words: int = MIN_WORDS)
                     if min(x[2], y[2]) < min_words:  # lines without a word between them
                         gone |= set(range(x[0], y[0]))
             places.setdefault(lines[a][1], []).append((i, a))
-        out[i] = "\n".join(x for k, x in enumerate((text or "").split("\n")) if k not in gone)
+        out.append((None if i[0] == -(2**63) else i[0], "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)))
     return out

@@ -46,7 +46,7 @@ def best_cuts(places: list[int], penalties: list[int], size: int = SIZE) -> list
     cost, back = [0] * n, [0] * n
     where = {p: k for k, p in enumerate(places)}
     queue: deque[tuple[int, int, int]] = deque([(places[0], places[0], 0)])
-    powers = [1 << k for k in range(size.bit_length() - 1, 4, -1) if 1 << k <= size]
+    powers = [1 << k for k in range(size.bit_length() - 1, -1, -1) if 1 << k <= size]
     for j in range(1, n):
         p = places[j]
         while p - queue[0][1] > size:

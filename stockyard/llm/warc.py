@@ -20,6 +20,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,6 +89,32 @@ def parse_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
     return status.decode("latin-1"), {n.strip().lower(): v.strip() for n, _, v in (x.decode("latin-1").partition(":") for x in lines)}, body
 
 
+def decoded(http: dict[str, str], body: bytes) -> bytes:
+    """The body without chunks and compression; one that is not in the form its headers name is taken as it is."""
+    if "chunked" in http.get("transfer-encoding", "").lower():
+        parts, rest = [], body
+        while rest:
+            size, found, rest = rest.partition(b"\r\n")
+            try:
+                n = int(size.split(b";")[0], 16)
+            except ValueError:
+                break
+            if not found or n == 0:
+                break
+            parts.append(rest[:n])
+            rest = rest[n + 2 :]
+        body = b"".join(parts) if parts else body
+    coding = http.get("content-encoding", "").strip().lower()
+    try:
+        if coding in ("gzip", "x-gzip"):
+            return gzip.decompress(body)
+        if coding == "deflate":
+            return zlib.decompress(body)
+    except (OSError, EOFError, zlib.error):
+        pass
+    return body
+
+
 def response(page_id: int | None, url: str | None, page: str | None, date: str = DATE) -> bytes:
     body = (page or "").encode()
     uri = clean(url) if url else f"urn:page:{'' if page_id is None else page_id}"
@@ -105,14 +132,15 @@ def derivatives(data: bytes) -> list[dict]:
     if source.get("warc-type") != "response":
         raise ValueError(f"a {source.get('warc-type')} record, not a response")
     status, http, body = parse_http(block)
+    content = decoded(http, body)
     origin, uri, date = source["warc-record-id"], source.get("warc-target-uri", ""), source.get("warc-date", DATE)
     kind = http.get("content-type", "").split(";")[0].strip().lower()
-    found = CHARSET.search(http.get("content-type", "")) or CHARSET.search(body[:1024].decode("latin-1"))
+    found = CHARSET.search(http.get("content-type", "")) or CHARSET.search(content[:1024].decode("latin-1"))
     charset = found[1].lower() if found else "utf-8"
     try:
-        page = body.decode(charset, "replace")
+        page = content.decode(charset, "replace")
     except LookupError:
-        charset, page = "utf-8", body.decode("utf-8", "replace")
+        charset, page = "utf-8", content.decode("utf-8", "replace")
     has_text = kind in ("text/html", "application/xhtml+xml", "text/plain", "")
     common = [("WARC-Refers-To", origin), ("WARC-Target-URI", uri), ("WARC-Date", date)]
     conversion, meta = record_id("conversion", origin), record_id("metadata", origin)
@@ -168,7 +196,7 @@ def derive(records: DataFrame) -> DataFrame:
             for k, page_id in enumerate(batch.column(0).to_pylist()):
                 try:
                     rows = derivatives(data[off[k] : off[k + 1]].tobytes())
-                except (ValueError, KeyError, OSError, EOFError) as e:
+                except (ValueError, KeyError, OSError, EOFError, zlib.error) as e:
                     rows = [{"warc_type": "error", "error": f"{type(e).__name__}: {e}"}]
                 out += [{"page_id": page_id} | r for r in rows]
                 if len(out) >= 2000:

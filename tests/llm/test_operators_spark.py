@@ -170,13 +170,13 @@ def test_near_duplicate_families(spark, monkeypatch):
 
 def test_line_dedup_equals_brute_force(spark, plain, documents, odd, none):
     got = {r.doc_id: r.kept for r in line_dedup.line_dedup(documents).collect()}
-    assert got == line_dedup.brute_force(plain)
+    assert got == dict(line_dedup.brute_force(plain))
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(documents).collect()} == got
     rng = random.Random(2)
     lines = [" ".join(rng.choices("abcdefg", k=rng.choice([0, 1, 4, 9, 25]))) for _ in range(14)]
     docs = [(k, "\n".join(rng.choices(lines, k=rng.randint(0, 12)))) for k in range(80)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    assert {r.doc_id: r.kept for r in line_dedup.line_dedup(df).collect()} == line_dedup.brute_force(docs)
+    assert {r.doc_id: r.kept for r in line_dedup.line_dedup(df).collect()} == dict(line_dedup.brute_force(docs))
     out = line_dedup.dedup_lines(odd)
     assert out.columns == odd.columns and out.count() == len(ROWS)
     kept = sorted(r.text for r in out.where("doc_id IN (6, 7)").collect())
@@ -204,7 +204,19 @@ def test_line_dedup_holds_runs_against_all_earlier_places(spark):
     lines = ["", "  ", *(" ".join(f"v{k}" for _ in range(n)) for k, n in enumerate((1, 2, 3, 5, 6, 8)))]
     docs = [(k, "\n".join(rng.choices(lines, k=rng.randrange(12)))) for k in range(300)]
     got = {r.doc_id: r.kept for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), 6).collect()}
-    assert got == line_dedup.brute_force(docs, 6)
+    assert got == dict(line_dedup.brute_force(docs, 6))
+
+
+def test_line_dedup_tells_rows_with_shared_ids_apart(spark):
+    line = [" ".join(f"{c}{k}" for k in range(24)) for c in "abc"]
+    docs = [(None, f"{line[0]}\n{line[1]}"), (None, f"{line[2]}\n{line[0]}"), (4, line[1]), (4, line[2] + "\nx"), (5, "y"), (5, "y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("spans", F.lit(1)).repartition(3)
+    order = lambda rows: sorted(set(rows), key=str)
+    want = order(line_dedup.brute_force(docs))
+    assert order((r.doc_id, r.kept) for r in line_dedup.line_dedup(df).collect()) == want
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == df.columns and out.count() == len(docs) and order((r.doc_id, r.text) for r in out.collect()) == want
+    assert sum(r.text.count(x) for r in out.collect() for x in line) == 3
 
 
 def test_toxicity_is_learned(spark, sf_dir, odd, none):

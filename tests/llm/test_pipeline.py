@@ -25,7 +25,7 @@ def test_stages(spark, sf_dir, documents, tmp_path):
             low = {r.doc_id for r in toxicity.score(docs, model).where(F.col("score") < toxicity.THRESHOLD).collect()}
             assert after == {i: t for i, t in before.items() if i in low}
         elif name == "line_dedup":
-            assert after == line_dedup.brute_force(list(before.items()))
+            assert after == dict(line_dedup.brute_force(list(before.items())))
             assert out.where("n_chars <> length(text)").count() == documents.where("n_chars <> length(text)").count()
         elif name == "near_dedup":
             assert set(after) == {i for i, _, c in near_dup.brute_force(list(before.items())) if i == c}

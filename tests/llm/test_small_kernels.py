@@ -56,8 +56,7 @@ def test_cuts_are_optimal(gaps, size):
 
 
 def packing_cost(length, size):
-    # lengths below 32 are not looked up as powers of two
-    return 0 if length & (length - 1) == 0 and length >= 32 else size - length
+    return 0 if length in {2**k for k in range(12)} else size - length
 
 
 @settings(max_examples=60, deadline=None)
@@ -174,6 +173,18 @@ def test_warc_records_link_and_parse():
         warc.parse(b"GET / HTTP/1.1\r\n\r\n")
 
 
+def test_warc_bodies_are_decoded():
+    import gzip
+
+    page = b"<p>plain words</p>"
+    zipped = gzip.compress(page)
+    chunked = b"5;x=y\r\n" + zipped[:5] + b"\r\n%x\r\n" % len(zipped[5:]) + zipped[5:] + b"\r\n0\r\n\r\n"
+    for head, body in ((b"Content-Encoding: gzip", zipped), (b"Content-Encoding: deflate", zlib.compress(page)), (b"Transfer-Encoding: chunked\r\nContent-Encoding: gzip", chunked), (b"Content-Encoding: gzip", page), (b"Transfer-Encoding: chunked", page)):
+        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n" + head + b"\r\n\r\n" + body
+        rows = warc.derivatives(warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], block))
+        assert rows[1]["block"] == b"plain words"
+
+
 def test_licence_chains_cover_templates():
     scan = license_scan.scanner()
     text = license_scan.TEMPLATES[0][1].replace("deal", "trade")
