@@ -14,8 +14,8 @@ Two texts miss each other in all tables only if all halves of one collection dif
    unless both are linked with the leader. Hence a prefix of D(x) must hold a common shingle: a short one where both are
    far from the leader, a longer one where one is near it, in an order that puts the group's frequent shingles last.
    Shingles that members of different components share are the buckets of the next level, inside their group: those of
-   up to LEAF members end there, where the overlaps of whole D(x) tell the links exactly (buckets with the same members
-   once), larger ones go on as in step 2. A level's groups are smaller than those they come from, as each loses its
+   up to LEAF members end there, where the overlaps of whole D(x), in 16 bits a shingle, tell which pairs to compare (buckets with
+   the same members once), larger ones go on as in step 2. A level's groups are smaller than those they come from, as each loses its
    leader, and the last level has none.
 
 Null, empty and space-only texts have an empty
@@ -184,7 +184,7 @@ def _differences(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterato
     def wholes(g: int, sets: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         n = len(sets)
         none = [pa.nulls(n, pa.int64()) for _ in range(4)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, g)), pa.nulls(n, pa.int64()), pa.array([b for b, _ in sets], pa.int64()), *none, pa.array([x.tobytes() for _, x in sets], pa.binary())], schema=_DEALT)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, g)), pa.nulls(n, pa.int64()), pa.array([b for b, _ in sets], pa.int64()), *none, pa.array([np.sort(x >> np.uint64(48)).astype("<u2").tobytes() for _, x in sets], pa.binary())], schema=_DEALT)
 
     group, whole, size = None, False, 0
     for g, parts, _, own, frequent, members in _with_leader(batches):
@@ -254,9 +254,13 @@ def _stars(live: DataFrame, work: Scratch) -> DataFrame:
 
 
 def _linked(bucket: list[tuple], per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links in one bucket of (id, root, e, kind, D): those whose D share enough."""
+    """Pairs in one bucket of (id, root, e, kind, D) whose D may share enough.
+
+    D comes as 16 bits of each shingle. Equal bits of different shingles only add to what two D seem to share, as every
+    shingle counts, so no link is missed; the pairs found are confirmed on the sets.
+    """
     ids, roots, es, kinds = (np.array(c, np.int64) for c in list(zip(*bucket, strict=True))[:4])
-    sets = [np.frombuffer(x[4], "<u8") for x in bucket]
+    sets = [np.frombuffer(x[4], "<u2") for x in bucket]
     far, near = np.flatnonzero(kinds == FAR), np.flatnonzero(kinds == NEAR)
     a, b = (np.arange(len(ids)),) * 2 if not len(near) else sorted((far, near), key=len)
     universe = np.unique(np.concatenate([sets[k] for k in a]))
@@ -265,7 +269,7 @@ def _linked(bucket: list[tuple], per_shingle: int) -> tuple[np.ndarray, np.ndarr
         m = np.zeros((len(side), len(universe)), np.float32)
         for row, k in enumerate(side):
             at = np.minimum(np.searchsorted(universe, sets[k]), len(universe) - 1)
-            m[row, at[universe[at] == sets[k]]] = 1
+            np.add.at(m[row], at[universe[at] == sets[k]], 1)
         held.append(m)
     shared = (held[0] @ held[1].T).astype(np.int64)
     x, y = np.nonzero((shared * per_shingle >= es[a][:, None] + es[b][None, :]) & (roots[a][:, None] != roots[b][None, :]))
@@ -273,10 +277,10 @@ def _linked(bucket: list[tuple], per_shingle: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _leaf_links(batches: Iterator[pa.RecordBatch], per_shingle: int) -> Iterator[pa.RecordBatch]:
-    """Rows (g, s, t, id, root, e, kind, apart) sorted by bucket (g, s, t) to links."""
+    """Rows (g, s, t, id, root, e, kind, apart) sorted by bucket (g, s, t) to pairs that may be linked."""
     bucket, held = None, []
 
-    def links() -> Iterator[pa.RecordBatch]:
+    def found() -> Iterator[pa.RecordBatch]:
         a, b = _linked(held, per_shingle)
         held.clear()
         if len(a):
@@ -286,18 +290,18 @@ def _leaf_links(batches: Iterator[pa.RecordBatch], per_shingle: int) -> Iterator
         for g, s, t, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if bucket != (g, s, t):
                 if held:
-                    yield from links()
+                    yield from found()
                 bucket = (g, s, t)
             held.append(row)
     if held:
-        yield from links()
+        yield from found()
 
 
 def _in_leaves(live: DataFrame, wholes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Small buckets (g, s, t, id, root, e, kind), s and t naming their members, to links (a, b) of different components."""
+    """Small buckets (g, s, t, id, root, e, kind), s and t naming their members, to pairs (g, a, b) of different components that may be linked."""
     rows = live.select("g", "s", "t", "id", "root", "e", "kind").distinct().join(wholes, ["g", "id"])
     rows = rows.select("g", "s", "t", "id", "root", "e", "kind", "apart").repartition("g", "s", "t").sortWithinPartitions("g", "s", "t")
-    return rows.mapInArrow(lambda it: _leaf_links(it, 2 * sum(similarity)), "a bigint, b bigint").distinct()
+    return rows.mapInArrow(lambda it: _leaf_links(it, 2 * sum(similarity)), "a bigint, b bigint").distinct().select(F.col("a").alias("g"), "a", "b")
 
 
 def _joined_roots(roots: DataFrame | None, links: DataFrame, work: Scratch) -> DataFrame:
@@ -356,7 +360,8 @@ def linked_groups(keys: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
         if live.isEmpty():
             return roots
         if roots is not None:
-            roots = _joined_roots(roots, work.cut(_in_leaves(live.where("small"), wholes, similarity)), work)
+            pairs = work.cut(_in_leaves(live.where("small"), wholes, similarity))
+            roots = _joined_roots(roots, compared(pairs, sets).where(is_link).select("a", "b"), work)
             live = live.where("NOT small")
             if live.isEmpty():
                 return roots

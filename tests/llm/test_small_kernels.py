@@ -218,7 +218,7 @@ def test_lone_shingles_leave_early_only_where_all_members_are_seen(parts, most):
     members = {1: (own | {100, 101}, 1), 2: (own | {100, 102}, 1), 3: (own - {1} | {103, 104}, 3), 4: (own - {1} | {103, 105}, 4), 5: (own | {106, 107}, 5)}
     every = [r for b in near_dup._differences(_led(members, own, parts), most) for r in b.to_pylist()]
     out = [r for r in every if r["apart"] is None]
-    assert sorted((r["id"], len(r["apart"]) // 8) for r in every if r["apart"]) == sorted((b, len(own ^ x)) for b, (x, _) in members.items())
+    assert sorted((r["id"], len(r["apart"]) // 2) for r in every if r["apart"]) == sorted((b, len(own ^ x)) for b, (x, _) in members.items())
     by_shingle: dict[int, list[tuple[int, int]]] = {}
     for r in out:
         by_shingle.setdefault(r["key"], []).append((r["id"], r["root"]))
