@@ -91,6 +91,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path, self.steps = spark, shared_path(spark, name), 0
+        self.tables: list[str] = []
 
     def cut(self, df: DataFrame) -> DataFrame:
         self.steps += 1
@@ -98,7 +99,18 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, column: str) -> DataFrame:
+        """The same in as many buckets of `column` as a shuffle has partitions, so that joins on it do not shuffle it again."""
+        self.steps += 1
+        table, buckets = f"scratch_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables.append(table)
+        dealt = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
+        dealt.format("parquet").option("path", f"{self.path}/{self.steps}").saveAsTable(table)
+        return self.spark.table(table)
+
     def clear(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -390,7 +390,7 @@ def groups(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SI
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = reps.join(ids, "id").select("id", "least.doc_id", "least.text_hash")
         rows = keyed_texts(docs).join(wanted.hint("merge"), ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
-        return work.cut(rows.select("id", "text").mapInArrow(lambda it: _set_rows(it, words), "id bigint, shingles binary"))
+        return work.bucketed(rows.select("id", "text").mapInArrow(lambda it: _set_rows(it, words), "id bigint, shingles binary"), "id")
 
     roots = linked_groups(table_keys(reps, halves, work), sets_of, similarity, work)
     found = reps.select("k1", "k2", "id", "least", "cells")
