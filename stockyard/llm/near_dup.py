@@ -44,10 +44,12 @@ PER_HALF = 3
 #: Members that are compared with one leader in one task.
 GROUP = 250
 #: Members of a bucket of differing shingles that are compared in one task; larger buckets are divided again.
-LEAF = 128
+LEAF = 1024
 #: Buckets in which only near and far members are compared may hold WIDE members if one side has FEW.
 FEW = 16
-WIDE = 1024
+WIDE = 4096
+#: Values of D that a leaf's members are compared by at a time.
+COLUMNS = 4096
 #: Shingles count as frequent in a group if more than FREQUENT and one in RARE of its members have them in D.
 FREQUENT = 16
 RARE = 1000
@@ -253,6 +255,16 @@ def _stars(live: DataFrame, work: Scratch) -> DataFrame:
     return work.cut(led.where(a != F.col("id")).select(F.xxhash64("g", a).alias("g"), a.alias("a"), F.col("id").alias("b")).distinct())
 
 
+def _incidence(sets: list[np.ndarray], universe: np.ndarray) -> np.ndarray:
+    """How often each set has each value of the universe."""
+    m = np.zeros((len(sets), len(universe)), np.float32)
+    values = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(universe, values), len(universe) - 1)
+    hit = universe[at] == values
+    np.add.at(m, (np.repeat(np.arange(len(sets)), [len(x) for x in sets])[hit], at[hit]), 1)
+    return m
+
+
 def _linked(bucket: list[tuple], per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs in one bucket of (id, root, e, kind, D) whose D may share enough.
 
@@ -262,16 +274,20 @@ def _linked(bucket: list[tuple], per_shingle: int) -> tuple[np.ndarray, np.ndarr
     ids, roots, es, kinds = (np.array(c, np.int64) for c in list(zip(*bucket, strict=True))[:4])
     sets = [np.frombuffer(x[4], "<u2") for x in bucket]
     far, near = np.flatnonzero(kinds == FAR), np.flatnonzero(kinds == NEAR)
-    a, b = (np.arange(len(ids)),) * 2 if not len(near) else sorted((far, near), key=len)
-    universe = np.unique(np.concatenate([sets[k] for k in a]))
-    held = []
-    for side in (a, b):
-        m = np.zeros((len(side), len(universe)), np.float32)
-        for row, k in enumerate(side):
-            at = np.minimum(np.searchsorted(universe, sets[k]), len(universe) - 1)
-            np.add.at(m[row], at[universe[at] == sets[k]], 1)
-        held.append(m)
-    shared = (held[0] @ held[1].T).astype(np.int64)
+    among = not len(near)
+    a, b = (np.arange(len(ids)),) * 2 if among else sorted((far, near), key=len)
+    if among:
+        universe, n = np.unique(np.concatenate(sets), return_counts=True)
+        universe = universe[n > 1]
+    else:
+        universe = np.intersect1d(*(np.concatenate([sets[k] for k in side]) for side in (a, b)))
+    shared = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, len(universe), COLUMNS):
+        part = universe[lo : lo + COLUMNS]
+        left = _incidence([sets[k] for k in a], part)
+        shared += left @ (left if among else _incidence([sets[k] for k in b], part)).T
+    if among:  # each pair once
+        shared[np.tril_indices(len(a))] = -np.inf
     x, y = np.nonzero((shared * per_shingle >= es[a][:, None] + es[b][None, :]) & (roots[a][:, None] != roots[b][None, :]))
     return ids[a[x]], ids[b[y]]
 
