@@ -32,7 +32,7 @@ def small_batches(spark):
 
 def test_each_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_ledger_equals_oracle(spark, sf_dir):
