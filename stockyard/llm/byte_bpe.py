@@ -27,7 +27,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import islice
 
 import numpy as np
@@ -40,7 +40,7 @@ from .tokens import byte_characters
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Units kept per worker; the cache starts anew beyond it, results do not depend on it.
-CACHE_UNITS = 600_000
+CACHE_UNITS = 250_000
 #: Longer units go to the library each time.
 CACHE_UNIT_CHARS = 48
 LONG_UNIT = 1 << 16
@@ -88,40 +88,56 @@ class ByteBpe:
     """Encoder and decoder of one vocabulary; `of` keeps one per worker."""
 
     def __init__(self, path: str, pattern: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
-
-        ranks = ranks_of(path)
-        shown = byte_characters()
-        named = {token: "".join([shown[b] for b in token]) for token in ranks}
-        merges = [
-            (named[token[:k]], named[token[k:]])
-            for token in sorted(ranks, key=ranks.get)
-            for k in range(1, len(token))
-            if token[:k] in ranks and token[k:] in ranks
-        ]
-        self.library = Tokenizer(models.BPE(vocab={named[t]: r for t, r in ranks.items()}, merges=merges))
-        split = pre_tokenizers.Split(Regex(pattern), "isolated")
-        self.library.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.model = self.library.model
-        self.ascii = {b: shown[b] for b in range(128)}
-        self.shown = shown
+        self.path, self.pattern, self.shown = path, pattern, byte_characters()
         self.cache = Units(self)
-        #: Whether the matches of plain units are this pattern's own; else every new unit takes the full path.
-        odd = (" Word", "\n\n naïve", "don't'", " won'tx!?", "a1b22 ", "  \t x--'s", "'S'reé", "\x1c.\x00z  ", " ", "ÀÉ'll.9")
-        self.plain = all(self.plain_ids(x) == self.library_ids(x) for x in odd)
         # Bytes of all entries in the order of their ids, through the characters that stand for them.
-        back = {c: b for b, c in shown.items()}
+        back = {c: b for b, c in self.shown.items()}
+        ranks = ranks_of(path)
         size = max(ranks.values(), default=-1) + 1
         entries = [b""] * size
-        for name, rank in ((named[t], r) for t, r in ranks.items()):
-            entries[rank] = bytes([back[c] for c in name])
+        for token, rank in ranks.items():
+            entries[rank] = bytes([back[c] for c in self.named(token)])
         self.known = np.zeros(size, bool)
         self.known[list(ranks.values())] = True
         self.lengths = np.array([len(x) for x in entries], np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])[:size]
         self.bytes = np.frombuffer(b"".join(entries), np.uint8)
 
+    def named(self, token: bytes) -> str:
+        return "".join([self.shown[b] for b in token])
+
+    @cached_property
+    def library(self):
+        """The tokenizers library with the ranks as merges; a worker that only decodes never makes it."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+
+        ranks = ranks_of(self.path)
+        merges = [
+            (self.named(token[:k]), self.named(token[k:]))
+            for token in sorted(ranks, key=ranks.get)
+            for k in range(1, len(token))
+            if token[:k] in ranks and token[k:] in ranks
+        ]
+        library = Tokenizer(models.BPE(vocab={self.named(t): r for t, r in ranks.items()}, merges=merges))
+        split = pre_tokenizers.Split(Regex(self.pattern), "isolated")
+        library.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return library
+
+    @cached_property
+    def model(self):
+        return self.library.model
+
+    @cached_property
+    def ascii(self) -> dict[int, str]:
+        return {b: self.shown[b] for b in range(128)}
+
+    @cached_property
+    def plain(self) -> bool:
+        """Whether the matches of plain units are this pattern's own; else every new unit takes the full path."""
+        odd = (" Word", "\n\n naïve", "don't'", " won'tx!?", "a1b22 ", "  \t x--'s", "'S'reé", "\x1c.\x00z  ", " ", "ÀÉ'll.9")
+        return all(self.plain_ids(x) == self.library_ids(x) for x in odd)
+
     def forget(self) -> None:
         """Free the cache, at the end of a task: workers stay, and other tasks need their memory."""
         self.cache = Units(self)
