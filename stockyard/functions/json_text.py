@@ -45,6 +45,60 @@ def merge_flat(base: Column, patch: Column) -> Column:
     return F.to_json(F.map_from_entries(F.concat(rest, F.filter(theirs, lambda e: e["value"].isNotNull()))))
 
 
+#: Objects within objects that `merge_patch` follows; a patch that is nested deeper is an error, not a wrong result.
+MERGE_DEPTH = 8
+
+
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def _members(v: Column) -> Column:
+    return v.cast("map<string,variant>")
+
+
+def _quoted(key: Column) -> Column:
+    return F.to_json(key.cast("variant"))
+
+
+def _merged_object(base: Column, patch: Column, depth: int) -> Column:
+    """JSON text of an object patch applied to a base of any kind; both are variants."""
+    if depth == 0:
+        return F.raise_error(F.lit(f"JSON patch nested deeper than {MERGE_DEPTH} objects")).cast("string")
+
+    def text(pair: Column) -> Column:
+        mine, theirs = pair["mine"], pair["theirs"]
+        rest = F.filter(F.map_entries(mine), lambda e: ~F.map_contains_key(theirs, e["key"]))
+        new = F.filter(F.map_entries(theirs), lambda e: ~F.is_variant_null(e["value"]))
+        value = lambda e: F.when(_is_object(e["value"]), _merged_object(F.try_element_at(mine, e["key"]), e["value"], depth - 1)).otherwise(F.to_json(e["value"]))
+        parts = F.concat(
+            F.transform(rest, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.to_json(e["value"]))),
+            F.transform(new, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), value(e))),
+        )
+        return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+
+    empty = F.create_map().cast("map<string,variant>")
+    pair = F.struct(F.when(_is_object(base), _members(base)).otherwise(empty).alias("mine"), _members(patch).alias("theirs"))
+    return F.transform(F.array(pair), text)[0]
+
+
+def merge_patch(base: Column, patch: Column) -> Column:
+    """RFC 7396 merge of two JSON texts: objects member by member at every level, null members of the patch delete,
+    anything else in the patch replaces what is there. Numbers, booleans and arrays keep their kinds.
+
+    Members come in the order of their names. Null, '' and invalid text counts as {} on either side.
+    """
+    mine = F.coalesce(F.try_parse_json(base), F.parse_json(F.lit("{}")))
+    theirs = F.coalesce(F.try_parse_json(patch), F.parse_json(F.lit("{}")))
+    merged = F.when(_is_object(theirs), _merged_object(mine, theirs, MERGE_DEPTH)).otherwise(F.to_json(theirs))
+    return F.to_json(F.parse_json(merged))
+
+
+def combined_classification(product: Column, own: Column) -> Column:
+    """Both classifications in normal form, the own one merged over the product's."""
+    return merge_patch(normalize_classification(product), normalize_classification(own))
+
+
 def normalize_classification(doc: Column) -> Column:
     """'' , null and invalid text to {}; an array of {type, value} to an object, the last of a type wins; an object as it is."""
     pairs = F.from_json(doc, "array<struct<type:string,value:string>>")

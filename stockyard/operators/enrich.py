@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.defaults import fill_defaults, override
+from .dedup import latest_by_key
 
 
 @dataclass(frozen=True)
@@ -18,6 +19,8 @@ class Dimension:
     on: dict[str, str]
     columns: dict[str, str]
     where: str | None = None
+    #: Of several rows of one key the greatest by these columns counts, then by the chosen columns.
+    version: tuple[str, ...] = ()
     #: Columns of an override table -> output columns that it resolves (sentinel means: keep).
     overrides: dict[str, str] = field(default_factory=dict)
 
@@ -25,15 +28,17 @@ class Dimension:
 def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True) -> DataFrame:
     """Joins in order, so that a later dimension can use a key that an earlier one brought.
 
-    Conditions on a dimension are applied before its join; its duplicates are reduced to one row per key, so a join
-    never multiplies events. Small dimensions are broadcast by Spark's own size check.
+    Conditions on a dimension are applied before its join; of its duplicates the latest row by a total order stays, so a join
+    never multiplies events and a rerun gives the same rows. Small dimensions are broadcast by Spark's own size check.
     """
     out, made = events, []
     for k, d in enumerate(dimensions):
         table = d.table.where(d.where) if d.where else d.table
         chosen = {**{c: n for c, n in d.columns.items()}, **{c: f"_o{k}_{n}" for c, n in d.overrides.items()}}
         keys = {ek: f"_k{k}_{i}" for i, ek in enumerate(d.on)}
-        right = table.select(*[F.col(d.on[ek]).alias(name) for ek, name in keys.items()], *[F.col(c).alias(n) for c, n in chosen.items()]).dropDuplicates(list(keys.values()))
+        right = table.select(*[F.col(d.on[ek]).alias(name) for ek, name in keys.items()], *[F.col(c).alias(n) for c, n in chosen.items()], *[F.col(c).alias(f"_v{k}_{i}") for i, c in enumerate(d.version)])
+        versions = [f"_v{k}_{i}" for i in range(len(d.version))]
+        right = latest_by_key(right, list(keys.values()), [*versions, *chosen.values()]).drop(*versions)
         condition = None
         for ek, name in keys.items():
             test = out[ek] == right[name]

@@ -14,24 +14,26 @@ def _at(when: dt.datetime | None):
     return F.lit(when).cast("timestamp_ntz")
 
 
-def _summed(parts: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
+def _summed(parts: DataFrame, keys: list[str], attrs: list[str], keep_zero: bool = False) -> DataFrame:
     """Re-aggregate partial positions; attributes come from one row, the latest by (last_ts, last_id)."""
     latest = F.max_by(F.struct("last_ts", "last_id", *attrs), F.struct("last_ts", "last_id"))
     out = parts.groupBy(*keys).agg(F.sum("quantity").alias("quantity"), F.sum("event_count").alias("event_count"), latest.alias("_last"))
-    return out.where(F.abs("quantity") > 1e-9).select(*keys, "quantity", "event_count", "_last.*")
+    out = out if keep_zero else out.where(F.abs("quantity") > 1e-9)
+    return out.select(*keys, "quantity", "event_count", "_last.*")
 
 
 def _as_parts(events: DataFrame, keys: list[str], quantity: str, ts: str, event_id: str, attrs: list[str]) -> DataFrame:
     return events.select(*keys, F.col(quantity).alias("quantity"), F.lit(1).cast("bigint").alias("event_count"), F.col(ts).alias("last_ts"), F.col(event_id).alias("last_id"), *attrs)
 
 
-def build_snapshot(events: DataFrame, at: dt.datetime, keys: list[str], quantity: str, ts: str, event_id: str, attrs: list[str]) -> DataFrame:
+def build_snapshot(events: DataFrame, at: dt.datetime, keys: list[str], quantity: str, ts: str, event_id: str, attrs: list[str], keep_zero: bool = False) -> DataFrame:
     """Cumulative position per key over events with ts <= at; zero positions are dropped, negative ones kept.
 
+    keep_zero: keep them too. A snapshot that positions are counted from needs them, else their event_count is lost.
     One max_by over a struct holds all attributes: one accumulator instead of one per attribute.
     """
     once = latest_by_key(events.where(F.col(ts) <= _at(at)), [event_id], [ts])
-    return _summed(_as_parts(once, keys, quantity, ts, event_id, attrs), keys, attrs).withColumn("snapshot_ts", _at(at))
+    return _summed(_as_parts(once, keys, quantity, ts, event_id, attrs), keys, attrs, keep_zero).withColumn("snapshot_ts", _at(at))
 
 
 def position_at_time(snapshots: DataFrame, events: DataFrame, at: dt.datetime, keys: list[str], quantity: str, ts: str, event_id: str, attrs: list[str], where: dict[str, object] | None = None) -> DataFrame:
