@@ -94,6 +94,11 @@ def merge_patch(base: Column, patch: Column) -> Column:
     return F.to_json(F.parse_json(merged))
 
 
+def object_or_empty(doc: Column) -> Column:
+    """The text if it is a JSON object; else, also for null, '', 'null' and arrays, {}."""
+    return F.when(kind(doc) == "Object", doc).otherwise(F.lit("{}"))
+
+
 def combined_classification(product: Column, own: Column) -> Column:
     """Both classifications in normal form, the own one merged over the product's."""
     return merge_patch(normalize_classification(product), normalize_classification(own))

@@ -22,6 +22,27 @@ def year_month(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMM")
 
 
+def add_days(ts: Column, days: Column | int) -> Column:
+    """The same time of day some days later (or earlier)."""
+    return ts + F.make_dt_interval(days=days if isinstance(days, Column) else F.lit(days))
+
+
+#: Layouts that lenient parsing knows, tried in this order.
+LAYOUTS = ("yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]", "yyyy-MM-dd HH:mm:ss[.SSS]", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy", "dd/MM/yyyy", "yyyyMMddHHmmss", "yyyyMMdd")
+
+
+def parse_lenient(text: Column) -> Column:
+    """A time in any of the known layouts, or seconds or milliseconds since 1970 in ten or thirteen digits; null if it is none."""
+    clean = F.trim(text)
+    number = F.when(clean.rlike("^[0-9]{10}$"), F.timestamp_seconds(clean.try_cast("bigint"))).when(clean.rlike("^[0-9]{13}$"), F.timestamp_millis(clean.try_cast("bigint")))
+    return F.coalesce(number, *[F.try_to_timestamp(clean, F.lit(layout)) for layout in LAYOUTS]).cast("timestamp_ntz")
+
+
+def processing_time() -> Column:
+    """When the query (on a stream: the micro-batch) runs."""
+    return F.current_timestamp()
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     return _seconds(end) - _seconds(start)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.defaults import fill_defaults, override
+from ..functions.json_text import merge_patch, object_or_empty
 from .dedup import latest_by_key
 
 
@@ -23,6 +24,8 @@ class Dimension:
     version: tuple[str, ...] = ()
     #: Columns of an override table -> output columns that it resolves (sentinel means: keep).
     overrides: dict[str, str] = field(default_factory=dict)
+    #: JSON columns of an override table -> output columns over whose objects theirs are merged.
+    merges: dict[str, str] = field(default_factory=dict)
 
 
 def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True) -> DataFrame:
@@ -34,7 +37,7 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
     out, made = events, []
     for k, d in enumerate(dimensions):
         table = d.table.where(d.where) if d.where else d.table
-        chosen = {**{c: n for c, n in d.columns.items()}, **{c: f"_o{k}_{n}" for c, n in d.overrides.items()}}
+        chosen = {**{c: n for c, n in d.columns.items()}, **{c: f"_o{k}_{n}" for c, n in [*d.overrides.items(), *d.merges.items()]}}
         keys = {ek: f"_k{k}_{i}" for i, ek in enumerate(d.on)}
         right = table.select(*[F.col(d.on[ek]).alias(name) for ek, name in keys.items()], *[F.col(c).alias(n) for c, n in chosen.items()], *[F.col(c).alias(f"_v{k}_{i}") for i, c in enumerate(d.version)])
         versions = [f"_v{k}_{i}" for i in range(len(d.version))]
@@ -47,6 +50,8 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
         out = out.join(right, condition, "left").drop(*keys.values())
         for n in d.overrides.values():
             out = out.withColumn(n, override(F.col(f"_o{k}_{n}"), F.col(n), kinds[n])).drop(f"_o{k}_{n}")
+        for n in d.merges.values():
+            out = out.withColumn(n, merge_patch(object_or_empty(F.col(n)), object_or_empty(F.col(f"_o{k}_{n}")))).drop(f"_o{k}_{n}")
         made += list(d.columns.values())
     return fill_defaults(out, made) if defaults else out
 

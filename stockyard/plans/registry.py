@@ -1,6 +1,6 @@
 """All queries by name, with the SQL that an independent engine runs on the same tables."""
 
-from . import retail, stock, streams
+from . import enrichments, retail, stock, streams
 
-QUERIES: dict = stock.QUERIES | retail.QUERIES | streams.QUERIES
-ORACLE: dict = stock.ORACLE | retail.ORACLE | streams.ORACLE
+QUERIES: dict = stock.QUERIES | retail.QUERIES | streams.QUERIES | enrichments.QUERIES
+ORACLE: dict = stock.ORACLE | retail.ORACLE | streams.ORACLE | enrichments.ORACLE

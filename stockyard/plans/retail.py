@@ -74,16 +74,16 @@ def sku_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NODE = """node AS (SELECT l_partkey AS sku_id, l_suppkey AS node_id, CASE WHEN max(l_quantity) > 25 THEN max(l_quantity) END AS size, max(l_returnflag) AS name, CASE WHEN min(l_tax) < 0.04 THEN true END AS active
-    FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1, 2),
-  pnode AS (SELECT p_brand AS product_id, CAST(s_suppkey AS BIGINT) AS node_id, s_suppkey % 2 = 0 AS active FROM (SELECT DISTINCT p_brand FROM part), supplier WHERE s_suppkey % 7 = 0),
+    FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2),
+  pnode AS (SELECT p_brand AS product_id, CAST(s_suppkey AS BIGINT) AS node_id, s_suppkey % 2 = 0 AS active FROM (SELECT DISTINCT p_brand FROM part), supplier WHERE s_acctbal < 0),
   master AS (SELECT p_partkey AS sku_id, p_brand AS product_id, CAST(p_size AS DOUBLE) AS size, p_name AS name, p_size % 2 = 0 AS active FROM part)"""
 
 
 #: Every part's own overrides, and sites that override products by a rule on values.
-_WHOLE = _NODE.replace("WHERE l_partkey % 3 = 0 ", "").replace("s_suppkey % 7 = 0)", "s_acctbal < 3000)")
+_WHOLE = _NODE.replace("WHERE l_quantity > 45 ", "").replace("s_acctbal < 0)", "s_acctbal < 3000)")
 
 
-def _override_tables(spark: SparkSession, sf_dir: str, own: str = "l_partkey % 3 = 0", overriding: str = "s_suppkey % 7 = 0") -> tuple[DataFrame, DataFrame, DataFrame]:
+def _override_tables(spark: SparkSession, sf_dir: str, own: str = "l_quantity > 45", overriding: str = "s_acctbal < 0") -> tuple[DataFrame, DataFrame, DataFrame]:
     part, lines, supplier = _t(spark, sf_dir, "part", "lineitem", "supplier")
     node = lines.where(own).groupBy(F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("node_id")).agg(
         F.when(F.max("l_quantity") > 25, F.max("l_quantity")).alias("size"), F.max("l_returnflag").alias("name"), F.when(F.min("l_tax") < 0.04, F.lit(True)).alias("active")
@@ -372,10 +372,11 @@ def string_agg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id, array_to_string(list_sort(list_distinct(list(event_type))), ' -> ') AS path, array_to_string(list_sort(list(strftime(ts, '%Y-%m-%d %H:%M')))[1:10], ',') AS first_ten FROM events GROUP BY ALL")
 def collect_set_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     (events,) = _t(spark, sf_dir, "events")
-    return events.groupBy("user_id").agg(
-        F.array_join(F.array_sort(F.collect_set("event_type")), " -> ").alias("path"),
-        F.array_join(F.slice(F.array_sort(F.collect_list(F.date_format("ts", "yyyy-MM-dd HH:mm"))), 1, 10), ",").alias("first_ten"),
-    )
+    # Only ten rows per user are collected: Spark cuts each task's rows to ten before they meet.
+    early = events.select("user_id", "ts", F.row_number().over(Window.partitionBy("user_id").orderBy("ts")).alias("k")).where("k <= 10")
+    first = early.groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_list(F.date_format("ts", "yyyy-MM-dd HH:mm"))), ",").alias("first_ten"))
+    paths = events.groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), " -> ").alias("path"))
+    return paths.join(first.withColumnRenamed("user_id", "_u"), F.col("user_id").eqNullSafe(F.col("_u"))).select("user_id", "path", F.coalesce("first_ten", F.lit("")).alias("first_ten"))
 
 
 @query("SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, count(*) AS n, round(avg(value), 2) AS mean, min(value) AS low, max(value) AS high FROM events GROUP BY ALL")

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import date_diff, seconds_between, year_month
-from ..operators import monitoring, position
+from ..operators import monitoring, position, snapshots
 from ..operators.dedup import latest_by_key, not_deleted
+from ..sources.shared import shared_path
 from ..sources.tables import read_table
 
 SNAP, TARGET, AS_OF = dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 22, 12), dt.datetime(2024, 1, 31)
@@ -35,6 +36,19 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").withColumn("qty", F.expr(SIGNED))
 
 
+#: Snapshot stores of this application by the folder of their tables; a table's snapshots are built once and serve all positions.
+_STORES: dict[tuple[str, str], snapshots.SnapshotStore] = {}
+
+
+def stored_snapshots(spark: SparkSession, sf_dir: str) -> snapshots.SnapshotStore:
+    at = spark.sparkContext.applicationId, sf_dir
+    if at not in _STORES:
+        store = snapshots.SnapshotStore(spark, shared_path(spark, "positions"), snapshots.Measure(KEYS, "qty", "ts", "event_id", ATTRS))
+        store.build(snapshots.reader(_events(spark, sf_dir), "ts"), [SNAP - dt.timedelta(days=7), SNAP])
+        _STORES[at] = store
+    return _STORES[at]
+
+
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position.build_snapshot(_events(spark, sf_dir), SNAP, KEYS, "qty", "ts", "event_id", ATTRS)
 
@@ -47,7 +61,8 @@ FROM events WHERE ts <= TIMESTAMP '{TARGET}' GROUP BY ALL HAVING abs(sum({SIGNED
 
 @query(f"SELECT *, TIMESTAMP '{TARGET}' AS query_time, TIMESTAMP '{SNAP}' AS base_snapshot_time FROM ({_POSITION})")
 def position_at_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = position.position_at_time(_snapshot(spark, sf_dir), _events(spark, sf_dir), TARGET, KEYS, "qty", "ts", "event_id", ATTRS)
+    """From stored snapshots: the base is the newest folder not after the target, and only the events since are read."""
+    out = stored_snapshots(spark, sf_dir).position(snapshots.reader(_events(spark, sf_dir), "ts"), TARGET)
     return out.withColumn("quantity", F.round("quantity", 2))
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_text
+from ..functions.times import add_days, parse_lenient
 from ..operators import enrich, snapshots
-from ..sources import lifecycle, tables
+from ..sources import lifecycle, storage, tables
 from ..sources.shared import shared_path
 from ..sources.tables import read_table
 from ..streaming import enrichment, keyed_log, sink, upserts
@@ -203,3 +204,43 @@ def combined_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.when(F.col("event_id") % 3 == 0, '[{"type":"ABC","value":"old"},{"type":"ABC","value":"own"}]').when(F.col("event_id") % 3 == 1, F.col("props")).otherwise("")
     merged = e.select("event_id", json_text.combined_classification(product, own).alias("j"))
     return merged.select("event_id", *[F.get_json_object("j", f"$.{n}").alias(c) for c, n in (("abc", "ABC"), ("x", "x"), ("k", "k"))])
+
+
+@query(
+    " UNION ALL ".join(f"SELECT 'default' AS database, '{c}' AS column_name, count(*) AS n_values, count(*) - count({c}) AS n_nulls, true AS is_compressed FROM lineitem" for c in ("l_orderkey", "l_quantity", "l_shipdate", "l_returnflag"))
+)
+def storage_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values, nulls and bytes of columns, from the footers of the table's files."""
+    found = storage.usage(storage.footers(spark, f"{sf_dir}/lineitem.parquet")).where(F.col("column").isin("l_orderkey", "l_quantity", "l_shipdate", "l_returnflag"))
+    return found.select(F.current_database().alias("database"), F.col("column").alias("column_name"), "n_values", "n_nulls", (F.col("compressed") > 0).alias("is_compressed"))
+
+
+@query("SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month, count(*) AS n, round(sum(o_totalprice), 2) AS total, min(o_orderdate) + INTERVAL 30 DAY AS first_due FROM orders GROUP BY 1")
+def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders")
+    months = orders.groupBy(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"))
+    return months.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), add_days(F.min("o_orderdate"), 30).alias("first_due"))
+
+
+@query(
+    """SELECT event_id, CASE event_id % 6 WHEN 5 THEN NULL WHEN 1 THEN date_trunc('day', ts) WHEN 2 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS parsed FROM events"""
+)
+def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times written in several layouts, one of them no time at all."""
+    events, k = read_table(spark, sf_dir, "events"), F.col("event_id") % 6
+    written = lambda layout: F.date_format("ts", layout)
+    text = (
+        F.when(k == 0, written("yyyy-MM-dd HH:mm:ss")).when(k == 1, written("dd.MM.yyyy")).when(k == 2, written("yyyyMMdd"))
+        .when(k == 3, F.concat(written("yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))).when(k == 4, F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string")).otherwise("soon")
+    )
+    return events.select("event_id", parse_lenient(text).alias("parsed"))
+
+
+@query(
+    """SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS nations, string_agg(CASE WHEN n_name < 'J' THEN n_name END, ', ' ORDER BY n_name) AS early, count(*) AS n FROM nation GROUP BY n_regionkey"""
+)
+def string_agg_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and conditional string aggregation, in order."""
+    nation = read_table(spark, sf_dir, "nation")
+    joined = lambda c: F.nullif(F.array_join(F.array_sort(F.collect_list(c)), ", "), F.lit(""))
+    return nation.groupBy("n_regionkey").agg(joined(F.col("n_name")).alias("nations"), joined(F.when(F.col("n_name") < "J", F.col("n_name"))).alias("early"), F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import year_month
 from ..operators.dedup import latest_by_key
+from .shared import Files
 
 #: Columns that change-data capture adds.
 CDC_COLUMNS = ("__op", "__source_ts_ms", "__deleted", "__source_snapshot")
@@ -53,8 +54,10 @@ def split_rejects(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFr
 def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[str], version: list[Column], ts: str) -> None:
     """Upsert: the latest row per key of the touched months replaces those months (dynamic partition overwrite).
 
-    The merged months go to a side path first: a path that is read can't be overwritten.
+    The merged months go to a side path first: a path that is read can't be overwritten. A side path that is complete
+    but still there is of a run that died while it overwrote months; it is put in place first, so nothing is lost.
     """
+    _put_in_place(spark, path, f"{path}__merge")
     new = new.withColumn("ym", year_month(F.col(ts)))
     months = [r["ym"] for r in new.select("ym").distinct().collect()]  # months of one batch
     if not months:
@@ -67,16 +70,26 @@ def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[st
             raise
     side = f"{path}__merge"
     latest_by_key(new, [*keys, "ym"], version).write.mode("overwrite").partitionBy("ym").parquet(side)
-    spark.read.parquet(side).withColumn("ym", F.col("ym").cast("string")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+    _put_in_place(spark, path, side)
+
+
+def _put_in_place(spark: SparkSession, path: str, side: str) -> None:
+    """The months of a complete side path replace those of the table; then the side path goes."""
+    files = Files(spark)
+    if files.exists(f"{side}/_SUCCESS"):
+        spark.read.option("basePath", side).parquet(side).withColumn("ym", F.col("ym").cast("string")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+        files.delete(side)
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], version: list[Column], files_per_month: int = 1) -> None:
     """Rewrite a month-partitioned table with the latest row per key in few, sorted files."""
     side = f"{path}__compact"
+    _put_in_place(spark, path, f"{path}__merge")
+    _put_in_place(spark, path, side)
     df = spark.read.option("basePath", path).parquet(path).withColumn("ym", F.col("ym").cast("string"))
     slots = F.pmod(F.xxhash64(*keys), F.lit(files_per_month))
     latest_by_key(df, [*keys, "ym"], version).repartition("ym", slots).sortWithinPartitions("ym", *keys).write.mode("overwrite").partitionBy("ym").parquet(side)
-    spark.read.parquet(side).withColumn("ym", F.col("ym").cast("string")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+    _put_in_place(spark, path, side)
 
 
 def as_json_lines(df: DataFrame) -> DataFrame:
