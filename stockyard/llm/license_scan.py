@@ -1,8 +1,9 @@
 """Licence scanning with a generalised suffix automaton of licence tokens.
 
 The automaton holds every word string of the licence templates. A text streams through it and gives matching
-statistics: for each word, the longest string of template words that ends there. Matches of at least MIN_MATCH words
-that cannot be extended to the right are placed in the templates, and matches that follow each other in text and
+statistics: for each word, the longest string of template words that ends there. The suffix links of its state lead to
+the templates that hold only a shorter end of it. In each template, matches of at least MIN_MATCH words that its next
+word does not extend are placed, and matches that follow each other in text and
 template (at most GAP words apart in the text) are chained into covered template spans. A template whose chain covers
 COVER of its words gives its label; so do the base phrases. Only runs of words of the automaton's vocabulary are
 walked; everything before that is vectorised.
@@ -73,6 +74,16 @@ class SuffixAutomaton:
             if self.link[s] > 0:
                 self.ends[self.link[s]] |= self.ends[s]
 
+    @lru_cache(maxsize=None)  # noqa: B019  one automaton lives as long as its worker
+    def places(self, state: int) -> tuple[tuple[int, int, int], ...]:
+        """(template, end, words) of the strings of a state and of its suffixes down to MIN_MATCH words; 0 words: as many as match."""
+        found = [(t, e, 0) for t, e in sorted(self.ends[state])]
+        while self.link[state] > 0 and self.length[self.link[state]] >= MIN_MATCH:
+            shorter = self.link[state]
+            found += [(t, e, self.length[shorter]) for t, e in sorted(self.ends[shorter] - self.ends[state])]
+            state = shorter
+        return tuple(found)
+
     def _new(self, length: int, step: dict[int, int], link: int) -> int:
         self.next.append(step)
         self.length.append(length)
@@ -120,7 +131,8 @@ class Scanner:
         vocabulary = sorted({w for s in strings for w in s} | {w.encode() for p in phrases for w in p.split()})
         self.labels, self.sizes = [label for label, _ in templates], [len(s) for s in strings]
         number = {w: k for k, w in enumerate(vocabulary)}
-        self.automaton = SuffixAutomaton([[number[w] for w in s] for s in strings])
+        self.tokens = [[number[w] for w in s] for s in strings]
+        self.automaton = SuffixAutomaton(self.tokens)
         self.phrases = [([number[w.encode()] for w in p.split()], label) for p, label in phrases.items()]
         data = np.frombuffer(b" ".join(vocabulary), np.uint8)
         starts, ends = word_spans(data, np.array([0, len(data)]), GAPS)
@@ -135,11 +147,13 @@ class Scanner:
 
     def spans(self, tokens: np.ndarray, first: int) -> list[tuple[int, int, int, int]]:
         """Matches (template, start in text, start in template, words) of a run of vocabulary words that starts at `first`."""
-        stats = list(self.automaton.statistics(tokens.tolist()))
-        out = []
-        for j, (state, length) in enumerate(stats):
-            if length >= MIN_MATCH and (j + 1 == len(stats) or stats[j + 1][1] <= length):
-                out += [(t, first + j - length + 1, e - length + 1, length) for t, e in self.automaton.ends[state]]
+        follow, out = [*tokens.tolist()[1:], None], []
+        for j, (state, length) in enumerate(self.automaton.statistics(tokens.tolist())):
+            if length >= MIN_MATCH:
+                for t, e, n in self.automaton.places(state):
+                    if e + 1 == self.sizes[t] or self.tokens[t][e + 1] != follow[j]:
+                        n = n or length
+                        out.append((t, first + j - n + 1, e - n + 1, n))
         return out
 
     def chained(self, matches: list[tuple[int, int, int, int]]) -> dict[int, tuple[int, int, int]]:

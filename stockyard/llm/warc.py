@@ -7,6 +7,10 @@ HTTP status, content type, character set, title, link count) and, for HTML and p
 their own block digest; the metadata names the conversion record too. Record ids are UUIDs of the source id and the
 record type, so a task that runs again makes the same records.
 
+All WARC headers of the source are fields of the metadata, repeated HTTP headers each with a line of its own. Pages are
+scanned tag by tag, in time that grows with their length whatever they hold; a very long page is one record. Bodies and
+records that unpack to more than MOST_BYTES are errors.
+
 A null or empty page gives a response without payload and a conversion of no text; a null URL becomes "urn:page:<id>"
 (id: empty if null). A record that is no response or cannot be parsed gives one row of type "error" with the reason.
 Repeated pages give equal records each time; extra columns are ignored; an empty table gives no records.
@@ -33,21 +37,73 @@ DATE = "2024-01-01T00:00:00Z"
 VERSION = b"WARC/1.1"
 
 HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
-BLOCK = re.compile(r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|section|article|nav|header|footer|main|aside|blockquote|pre|form|title|head|body|html|figure|figcaption|option|select)\b[^>]*>", re.I)
-TAG = re.compile(r"</?[A-Za-z!?][^>]*(?:>|\Z)")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=", re.I)
+#: A tag takes all up to its end, or to the end of the page: no character is looked at for two tags.
+TAG = re.compile(r"<(/?)([A-Za-z!?][A-Za-z0-9]*)[^>]*(?:>|\Z)")
+BLOCKS = frozenset("p div br hr li ul ol dl dt dd h1 h2 h3 h4 h5 h6 tr table section article nav header footer main aside blockquote pre form title head body html figure figcaption option select".split())
+TITLE = re.compile(r"<title\b[^<>]*>", re.I)
+TITLE_END = re.compile(r"</title\s*>", re.I)
+HREF = re.compile(r"\shref\s*=", re.I)
+#: References to characters beyond Unicode, of any number of digits.
+LONG_REFERENCE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9A-Fa-f]{8,});?")
+MOST_BYTES = 1 << 30
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 SPACE = re.compile(r"[^\S\n]+")
 
 
 def plain_text(page: str) -> str:
     """The text of an HTML page, one line per block, without scripts, styles and comments."""
-    text = TAG.sub(" ", BLOCK.sub("\n", HIDDEN.sub(" ", page)))
-    lines = (SPACE.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
+    text = TAG.sub(lambda m: "\n" if m[2].lower() in BLOCKS and m[0][-1] == ">" else " ", HIDDEN.sub(" ", page))
+    lines = (SPACE.sub(" ", line).strip() for line in unescaped(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def unescaped(text: str) -> str:
+    return html.unescape(LONG_REFERENCE.sub("\ufffd", text))
+
+
+def title_of(page: str) -> str:
+    """The first title that is closed: without a close after the first one, none later has one."""
+    begin = TITLE.search(page)
+    end = TITLE_END.search(page, begin.end()) if begin else None
+    return clean(unescaped(SPACE.sub(" ", page[begin.end() : end.start()]))) if end else ""
+
+
+def links_of(page: str) -> int:
+    return sum(1 for m in TAG.finditer(page) if m[2].lower() == "a" and not m[1] and HREF.search(m[0]))
+
+
+def inflated(data: bytes, bits: int) -> bytes:
+    """All gzip members (bits 31) or one zlib stream (15), MOST_BYTES at most."""
+    out, size = [], 0
+    while data:
+        stream = zlib.decompressobj(bits)
+        out.append(stream.decompress(data, MOST_BYTES - size + 1))
+        size += len(out[-1])
+        if size > MOST_BYTES:
+            raise ValueError(f"more than {MOST_BYTES} bytes unpacked")
+        if not stream.eof:
+            raise EOFError("compressed data ends early")
+        data = stream.unused_data.lstrip(b"\0") if bits == 31 else b""
+    return b"".join(out)
+
+
+class Headers(list):
+    """(name in lower case, value) in their order; `get` gives the first of a name."""
+
+    def get(self, name: str, other: str = "") -> str:
+        return next((v for n, v in self if n == name), other)
+
+    def __getitem__(self, name):
+        if isinstance(name, str):
+            if name not in self:
+                raise KeyError(name)
+            return self.get(name)
+        return super().__getitem__(name)
+
+    def __contains__(self, name) -> bool:
+        return any(n == name for n, _ in self)
+
+
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -65,51 +121,52 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return VERSION + b"\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (names in lower case) and block of one record."""
+def parse(data: bytes) -> tuple[Headers, bytes]:
+    """Headers and block of one record."""
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+        data = inflated(data, 31)
     head, found, rest = data.partition(b"\r\n\r\n")
     first, *lines = head.split(b"\r\n")
     if not found or not first.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
-    headers = {}
+    headers = Headers()
     for line in lines:
         name, _, value = line.decode("utf-8", "replace").partition(":")
-        headers[name.strip().lower()] = value.strip()
+        headers.append((name.strip().lower(), value.strip()))
     length = int(headers["content-length"])
+    if length < 0:
+        raise ValueError("a negative Content-Length")
     if len(rest) < length:
         raise ValueError("the block is shorter than its Content-Length")
     return headers, rest[:length]
 
 
-def parse_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
+def parse_http(block: bytes) -> tuple[str, Headers, bytes]:
     head, _, body = block.partition(b"\r\n\r\n")
     status, *lines = head.split(b"\r\n")
-    return status.decode("latin-1"), {n.strip().lower(): v.strip() for n, _, v in (x.decode("latin-1").partition(":") for x in lines)}, body
+    return status.decode("latin-1"), Headers((n.strip().lower(), v.strip()) for n, _, v in (x.decode("latin-1").partition(":") for x in lines)), body
 
 
-def decoded(http: dict[str, str], body: bytes) -> bytes:
+def decoded(http: Headers, body: bytes) -> bytes:
     """The body without chunks and compression; one that is not in the form its headers name is taken as it is."""
     if "chunked" in http.get("transfer-encoding", "").lower():
-        parts, rest = [], body
-        while rest:
-            size, found, rest = rest.partition(b"\r\n")
+        parts, at = [], 0
+        while (end := body.find(b"\r\n", at)) >= 0:
             try:
-                n = int(size.split(b";")[0], 16)
+                n = int(body[at:end].split(b";")[0], 16)
             except ValueError:
                 break
-            if not found or n == 0:
+            if n <= 0:
                 break
-            parts.append(rest[:n])
-            rest = rest[n + 2 :]
+            parts.append(body[end + 2 : end + 2 + n])
+            at = end + 2 + n + 2
         body = b"".join(parts) if parts else body
     coding = http.get("content-encoding", "").strip().lower()
     try:
         if coding in ("gzip", "x-gzip"):
-            return gzip.decompress(body)
+            return inflated(body, 31)
         if coding == "deflate":
-            return zlib.decompress(body)
+            return inflated(body, 15)
     except (OSError, EOFError, zlib.error):
         pass
     return body
@@ -144,12 +201,13 @@ def derivatives(data: bytes) -> list[dict]:
     has_text = kind in ("text/html", "application/xhtml+xml", "text/plain", "")
     common = [("WARC-Refers-To", origin), ("WARC-Target-URI", uri), ("WARC-Date", date)]
     conversion, meta = record_id("conversion", origin), record_id("metadata", origin)
-    title = TITLE.search(page) if kind != "text/plain" else None
+    told = {"warc-type", "warc-record-id", "warc-block-digest", "warc-payload-digest", "content-length"}
     fields = [
         ("source-record-id", origin), ("source-block-digest", source.get("warc-block-digest", digest(block))),
         ("source-payload-digest", source.get("warc-payload-digest", digest(body))), ("computed-payload-digest", digest(body)),
-        ("http-status", status), *((f"http-{k}", v) for k, v in sorted(http.items())), ("charset", charset),
-        ("title", clean(html.unescape(SPACE.sub(" ", title[1])) if title else "")), ("links", str(len(LINK.findall(page)))),
+        *((f"source-{k}", v) for k, v in source if k not in told),
+        ("http-status", status), *((f"http-{k}", v) for k, v in sorted(http, key=lambda x: x[0])), ("charset", charset),
+        ("title", title_of(page) if kind != "text/plain" else ""), ("links", str(links_of(page))),
         *([("conversion-record-id", conversion)] if has_text else []),
     ]
     notes = "".join(f"{k}: {clean(v)}\r\n" for k, v in fields).encode()
