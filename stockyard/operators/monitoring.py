@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import datetime as dt
 
 from pyspark.sql import DataFrame, Window
@@ -40,3 +42,16 @@ def missing_days(events: DataFrame, ts: str, *keys: str) -> DataFrame:
     every = days.groupBy(*keys).agg(F.min("day").alias("a"), F.max("day").alias("b")).select(*keys, F.explode(F.sequence("a", "b")).alias("day"))
     same = [F.col(f"every.{c}").eqNullSafe(F.col(f"days.{c}")) for c in (*keys, "day")]
     return every.alias("every").join(days.alias("days"), same, "left_anti")
+
+
+def probe(spark, runs: dict, repeat: int = 3) -> DataFrame:
+    """Time queries: name, rows, and the best and worst seconds of some runs. runs: name -> function that gives a DataFrame."""
+    found = []
+    for name, run in runs.items():
+        took, rows = [], 0
+        for _ in range(repeat):
+            began = time.perf_counter()
+            rows = run().count()
+            took.append(time.perf_counter() - began)
+        found.append((name, rows, min(took), max(took)))
+    return spark.createDataFrame(found, "name string, n_rows bigint, best_s double, worst_s double")

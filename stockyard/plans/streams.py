@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import json_text
 from ..functions.times import add_days, parse_lenient
-from ..operators import enrich, snapshots
+from ..operators import backfill, enrich, monitoring, snapshots
 from ..sources import lifecycle, storage, tables
 from ..sources.shared import shared_path
 from ..sources.tables import read_table
 from ..streaming import enrichment, keyed_log, sink, upserts
-from .stock import ATTRS, KEYS, SIGNED, _events
+from .stock import ATTRS, KEYS, SIGNED, SNAP, TARGET, _events, stored_snapshots
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -244,3 +244,38 @@ def string_agg_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     joined = lambda c: F.nullif(F.array_join(F.array_sort(F.collect_list(c)), ", "), F.lit(""))
     return nation.groupBy("n_regionkey").agg(joined(F.col("n_name")).alias("nations"), joined(F.when(F.col("n_name") < "J", F.col("n_name"))).alias("early"), F.count(F.lit(1)).alias("n"))
+
+
+_PROBED = {"at_snapshot": SNAP, "a_week_later": TARGET}
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows, true AS timed FROM (SELECT user_id, event_type FROM events WHERE ts <= TIMESTAMP '{at}' GROUP BY ALL HAVING abs(sum({SIGNED})) > 1e-9)" for name, at in _PROBED.items()))
+def position_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times positions right at a stored snapshot and a week after it."""
+    store, read = stored_snapshots(spark, sf_dir), snapshots.reader(_events(spark, sf_dir), "ts")
+    found = monitoring.probe(spark, {name: lambda at=at: store.position(read, at) for name, at in _PROBED.items()})
+    return found.select("name", "n_rows", (F.col("best_s") > 0).alias("timed"))
+
+
+@query(
+    """SELECT strftime(l_shipdate, '%Y') || '12' AS ym, CASE WHEN year(l_shipdate) < 1994 THEN count(*) ELSE 0 END AS before, count(*) AS staging, count(*) AS after FROM lineitem WHERE month(l_shipdate) = 12 GROUP BY year(l_shipdate), strftime(l_shipdate, '%Y')"""
+)
+def backfill_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Decembers of all years backfilled over those that were enriched before: counts of each month before and after."""
+    path, lines, part = shared_path(spark, "backfill"), read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")
+    december = lines.where(F.month("l_shipdate") == 12)
+    star = lambda rows: enrich.enrich(rows, [enrich.Dimension(part, {"l_partkey": "p_partkey"}, {"p_name": "part", "p_brand": "brand"})])
+    backfill.backfill(spark, december.where(F.year("l_shipdate") < 1994), "l_shipdate", f"{path}/table", star, f"{path}/first")
+    return backfill.backfill(spark, december, "l_shipdate", f"{path}/table", star, f"{path}/second")
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, l_linenumber, l_partkey, p_name, s_name FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey
+    WHERE o_totalprice > 400000 AND o_orderpriority = '1-URGENT'"""
+)
+def debug_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some orders with all that hangs on them; the filter reaches the orders' scan before any join."""
+    orders, lines, part, supplier = (read_table(spark, sf_dir, t) for t in ("orders", "lineitem", "part", "supplier"))
+    found = orders.where("o_totalprice > 400000 AND o_orderpriority = '1-URGENT'")
+    out = found.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(part, F.col("p_partkey") == F.col("l_partkey"), "left").join(supplier, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    return out.select("o_orderkey", "o_custkey", "l_linenumber", "l_partkey", "p_name", "s_name")

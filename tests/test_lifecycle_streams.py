@@ -11,7 +11,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from stockyard.functions import json_text, times
-from stockyard.operators import enrich, limits, position, snapshots
+from stockyard.operators import backfill, enrich, limits, position, snapshots
 from stockyard.plans import enrichments
 from stockyard.sources import lifecycle, storage, tables
 from stockyard.sources.shared import Files
@@ -394,3 +394,26 @@ def test_pick_drop_on_reference_columns(spark):
     assert (b.principal_id, b.sku_name, b.sku_l0_units, b.sku_combined_classification) == (7, "sku", 3, '{"ABC":"A","d":{"x":1}}')
     assert (c.sku_name, c.worker_supervisor, c.dropped_hu_created_at, c.sku_combined_classification) == ("", False, dt.datetime(1970, 1, 1), "{}")
     assert len(enrichments.sku_open()) == 12 + 10 + 4 * 9
+
+
+def test_backfill_goes_on_after_a_crash(spark, tmp_path):
+    rows = spark.createDataFrame([(k, dt.datetime(2024, 1 + k % 3, 5)) for k in range(30)], "id int, ts timestamp_ntz")
+    path, commits = f"file:{tmp_path}/t", f"file:{tmp_path}/c"
+    seen = []
+
+    def star(df):
+        seen.append(df.first().ts.month)
+        if len(seen) == 2:
+            raise OSError("lost")
+        return df.withColumn("more", F.lit(1))
+
+    with pytest.raises(OSError):
+        backfill.backfill(spark, rows, "ts", path, star, commits)
+    report = backfill.backfill(spark, rows, "ts", path, star, commits)
+    assert seen == [1, 2, 2, 3] and sorted(map(tuple, report.collect())) == [(f"20240{m}", 0, 10, 10) for m in (1, 2, 3)]
+    assert spark.read.parquet(path).where("more = 1").count() == 30
+    with pytest.raises(backfill.WrongCount):
+        backfill.backfill(spark, rows, "ts", path, lambda df: df.limit(3), f"{commits}2")
+    assert spark.read.parquet(path).count() == 30
+    again = backfill.backfill(spark, rows, "ts", path, star, f"{commits}3", ["202402"])
+    assert [tuple(r) for r in again.collect()] == [("202402", 10, 10, 10)] and spark.read.parquet(path).count() == 30
