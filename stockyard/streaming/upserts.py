@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import latest_by_key
-from ..sources.tables import merge_by_month, split_rejects, without_cdc_columns
+from ..sources.tables import as_json_lines, merge_by_month, split_rejects, without_cdc_columns, write_tsv
 
 
 def change_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 100) -> DataFrame:
@@ -55,6 +55,22 @@ def route(stream: DataFrame, topic: str, sinks: dict[str, str], checkpoint: str,
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def text_sink(stream: DataFrame, path: str, checkpoint: str, kind: str = "json", bounded: bool = True) -> StreamingQuery:
+    """Rows as JSON lines or tab-separated values, in a folder per micro-batch that a repeated batch replaces."""
+    if kind not in ("json", "tsv"):
+        raise ValueError(f"no text sink of kind {kind}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        to = f"{path}/batch={batch_id:012d}"
+        if kind == "json":
+            as_json_lines(batch).write.mode("overwrite").text(to)
+        else:
+            write_tsv(batch, to)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if bounded else writer.trigger(processingTime="30 seconds")).start()
+
+
 def tumbling(events: DataFrame, ts: str, keys: list[str], width: str, aggregates: list[Column], late: str | None = None) -> DataFrame:
     """Aggregates per window and key, for a stream (with a watermark) or a batch."""
     df = events.withColumn("_t", F.col(ts).cast("timestamp"))

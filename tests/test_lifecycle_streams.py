@@ -417,3 +417,41 @@ def test_backfill_goes_on_after_a_crash(spark, tmp_path):
     assert spark.read.parquet(path).count() == 30
     again = backfill.backfill(spark, rows, "ts", path, star, f"{commits}3", ["202402"])
     assert [tuple(r) for r in again.collect()] == [("202402", 10, 10, 10)] and spark.read.parquet(path).count() == 30
+
+
+def test_windows_close_by_watermark(spark, tmp_path):
+    """Rows later than the watermark allows don't change a window; rows within it do."""
+    src, out = f"{tmp_path}/src", f"{tmp_path}/out"
+    schema = "k string, ts timestamp_ntz"
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+
+    def put(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        windows = upserts.tumbling(upserts.change_stream(spark, src, spark.createDataFrame([], schema).schema, 1), "ts", ["k"], "1 day", [F.count(F.lit(1)).alias("n")], late="2 days")
+        keyed_log.append(windows, out, f"{tmp_path}/cp", mode="append").awaitTermination()
+
+    put(("a", day(1)), ("a", day(1, 5)))
+    run()
+    put(("a", day(2)), ("a", day(1, 7)))  # the second is late, but within two days
+    run()
+    put(("a", day(9)))
+    run()
+    put(("a", day(1, 9)), ("a", day(10)), ("a", day(20)))  # the first is too late
+    run()
+    put(("a", day(21)))
+    run()
+    got = {(r.window_start, r.n) for r in keyed_log.latest(spark, out, ["k", "window_start"]).collect()}
+    assert {(day(1), 3), (day(2), 1), (day(9), 1), (day(10), 1)} <= got and all(n == 3 for w, n in got if w == day(1))
+
+
+def test_text_sinks_of_streams(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    spark.createDataFrame([(1, 'a"b'), (2, None)], "id int, s string").write.parquet(src)
+    stream = lambda: upserts.change_stream(spark, src, spark.read.parquet(src).schema)
+    for kind, want in (("json", ['{"id":1,"s":"a\\"b"}', '{"id":2}']), ("tsv", ['1\ta"b', "2\t"])):
+        upserts.text_sink(stream(), f"{tmp_path}/{kind}", f"{tmp_path}/cp-{kind}", kind).awaitTermination()
+        assert sorted(r.value for r in spark.read.text(f"{tmp_path}/{kind}").collect()) == want
+    with pytest.raises(ValueError, match="no text sink"):
+        upserts.text_sink(stream(), src, src, "xml")
