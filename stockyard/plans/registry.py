@@ -1,6 +1,7 @@
 """All queries by name, with the SQL that an independent engine runs on the same tables."""
 
-from . import enrichments, retail, stock, streams
+from . import deliveries, enrichments, retail, stock, streams
 
-QUERIES: dict = stock.QUERIES | retail.QUERIES | streams.QUERIES | enrichments.QUERIES
-ORACLE: dict = stock.ORACLE | retail.ORACLE | streams.ORACLE | enrichments.ORACLE
+_PARTS = (stock, retail, streams, enrichments, deliveries)
+QUERIES: dict = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
+ORACLE: dict = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

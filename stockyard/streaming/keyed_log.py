@@ -25,13 +25,19 @@ def pivot(rows: DataFrame, key: str, level: str, attributes: list[str], levels:
     return uom_pivot(rows, key, level, attributes, levels, active, times)
 
 
-def append(changes: DataFrame, path: str, checkpoint: str, bounded: bool = True, seconds: int = 30, mode: str = "update") -> StreamingQuery:
-    """Write what each micro-batch changes. bounded: stop when the input so far is read; a later start goes on from there."""
+def append(changes: DataFrame, path: str, checkpoint: str, bounded: bool = True, seconds: int = 30, mode: str = "update", single: bool = False) -> StreamingQuery:
+    """Write what each micro-batch changes. bounded: stop when the input so far is read; a later start goes on from there.
+
+    single: the input so far is one batch. State with a time to live always asks for another batch, so a bounded query
+    over such state ends only this way.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/log/batch={batch_id:012d}")
 
     writer = changes.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    if single:
+        return writer.trigger(once=True).start()
     return (writer.trigger(availableNow=True) if bounded else writer.trigger(processingTime=f"{seconds} seconds")).start()
 
 
