@@ -80,7 +80,9 @@ def stream_ttl_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             ttl_join.tagged(upserts.change_stream(spark, f"{path}/left", left.schema), "left", "c_custkey", "v"),
             ttl_join.tagged(upserts.change_stream(spark, f"{path}/right", right.schema), "right", "o_custkey", "o_orderkey"),
         ]
-        keyed_log.append(ttl_join.left_join_with_ttl(*sides, ttl_ms=86_400_000), path, f"{path}/checkpoint", single=True).awaitTermination()
+        with ttl_join.state_in_rocksdb(spark):
+            started = keyed_log.append(ttl_join.left_join_with_ttl(*sides, ttl_ms=86_400_000), path, f"{path}/checkpoint", single=True)
+        started.awaitTermination()
     pairs = keyed_log.latest(spark, path, ["key"])
     mine, theirs = F.from_json("left_row", left.schema), F.from_json("right_row", right.schema)
     return pairs.select(mine["c_custkey"].alias("c_custkey"), mine["c_name"].alias("c_name"), theirs["o_orderkey"].alias("last_order"), theirs["o_totalprice"].alias("total"))

@@ -9,9 +9,10 @@ its partner's state has gone appears unmatched.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructType
@@ -49,7 +50,24 @@ class LatestPair(StatefulProcessor):
         pass
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries that are started in this block keep their state in RocksDB, whatever the session's own store is."""
+    old = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, old)
+
+
 def left_join_with_ttl(left: DataFrame, right: DataFrame, ttl_ms: int) -> DataFrame:
-    """tagged() sides to one update stream of joined pairs. Needs the RocksDB state store."""
+    """tagged() sides to one update stream of joined pairs. Start it in `state_in_rocksdb`: no other store keeps such state."""
     both = left.unionByName(right)
     return both.groupBy("key").transformWithStateInPandas(statefulProcessor=LatestPair(ttl_ms), outputStructType=OUTPUT, outputMode="Update", timeMode="ProcessingTime")
