@@ -77,6 +77,18 @@ def test_left_join_with_ttl(spark, tmp_path):
     assert '"l1b"' in last["k1"].left_row and '"r1"' in last["k1"].right_row and last["k2"].right_row is None
 
 
+def test_the_store_of_the_session_comes_back(spark):
+    key = ttl_join.PROVIDER
+    before = spark.conf.get(key)
+    for own in ("org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider", None):
+        spark.conf.set(key, own) if own else spark.conf.unset(key)
+        was = spark.conf.get(key, None)
+        with ttl_join.state_in_rocksdb(spark):
+            assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
+        assert spark.conf.get(key, None) == was
+    spark.conf.set(key, before)
+
+
 def test_sinks_and_catalog(spark, tmp_path):
     df = spark.createDataFrame([(1, "a\"b"), (2, None)], "id int, s string")
     assert [r.value for r in tables.as_json_lines(df).collect()] == ['{"id":1,"s":"a\\"b"}', '{"id":2}']
