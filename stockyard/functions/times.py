@@ -52,9 +52,9 @@ def day_of(days: Column) -> Column:
     return F.date_from_unix_date(days)
 
 
-def readable_size(size: Column) -> Column:
-    """Bytes as text with a binary unit."""
+def readable_size(size: Column, units: tuple[str, ...] = ("KiB", "MiB", "GiB", "TiB")) -> Column:
+    """Bytes as text with a binary unit; the last unit holds everything from it on."""
     out = F.format_string("%.2f B", size.cast("double"))
-    for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
+    for k, unit in enumerate(units, 1):
         out = F.when(size >= 1024**k, F.format_string(f"%.2f {unit}", size / float(1024**k))).otherwise(out)
     return out

@@ -56,6 +56,20 @@ def test_not_deleted(spark):
     assert sorted(r.id for r in not_deleted(df, F.lit(day)).collect()) == [1, 3, 4]
 
 
+def test_sizes_of_large_ids_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from stockyard.plans import retail
+
+    spark.range(0, 7_000_000, 99_991).selectExpr("id AS event_id").write.parquet(f"{tmp_path}/events.parquet")
+    got = retail.date_and_size_functions(spark, str(tmp_path)).select("event_id", "size").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(f"SELECT event_id, size FROM ({retail.ORACLE['date_and_size_functions']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert value(spark, times.readable_size(F.lit(3 << 30))) == "3.00 GiB"
+
+
 def _events(spark, rows):
     return spark.createDataFrame(rows, "id bigint, wh bigint, item string, qty double, ts timestamp_ntz, note string")
 
