@@ -70,6 +70,28 @@ def test_sizes_of_large_ids_equal_the_sql(spark, tmp_path):
     assert value(spark, times.readable_size(F.lit(3 << 30))) == "3.00 GiB"
 
 
+def test_products_of_skus_and_sites_are_not_shuffled(spark):
+    node = spark.createDataFrame([(1, 2, 5.0, "own", True), (1, 3, None, None, None), (2, 1, 0.0, "", True), (9, 1, 1.0, "x", True), (3, 2, 7.0, "late", True)], "sku_id bigint, node_id bigint, size double, name string, active boolean")
+    master = spark.createDataFrame([(1, "a", 1.0, "one", True), (2, "a", 2.0, "two", False), (3, "b", 3.0, "three", False)], "sku_id bigint, product_id string, size double, name string, active boolean")
+    pnode = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("a", 4, None)], "product_id string, node_id bigint, active boolean")
+    sites = spark.createDataFrame([(1,), (2,), (3,)], "node_id bigint")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        every = masters.sku_combined_everywhere(master, node, sites, ["size", "name"])
+        assert sorted(map(tuple, every.collect())) == [(1, 1, 1.0, "one", False), (1, 2, 2.0, "two", True), (2, 1, 5.0, "own", True), (2, 3, 7.0, "late", True), (3, 1, 1.0, "one", False)]
+        both = masters.sku_overrides(node, pnode, master, {"size": T.DoubleType(), "name": T.StringType()})
+        assert sorted((r.sku_id, r.node_id, r.size, r.name, r.active, r.level) for r in both.collect()) == [
+            (1, 1, 1.0, "one", True, "product"), (1, 2, 5.0, "own", True, "sku"), (1, 3, 1.0, "one", True, "sku"), (1, 4, 1.0, "one", True, "product"),
+            (2, 1, 0.0, "", True, "sku"), (2, 2, 2.0, "two", False, "product"), (2, 4, 2.0, "two", False, "product"), (3, 2, 7.0, "late", True, "sku"),
+        ]
+        for df in (every, both):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert "LeftAnti" not in plan and "rightHint=(strategy=broadcast)" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def _events(spark, rows):
     return spark.createDataFrame(rows, "id bigint, wh bigint, item string, qty double, ts timestamp_ntz, note string")
 
