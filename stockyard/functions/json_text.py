@@ -49,12 +49,9 @@ def merge_flat(base: Column, patch: Column) -> Column:
 MERGE_DEPTH = 8
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-
-
 def _members(v: Column) -> Column:
-    return v.cast("map<string,variant>")
+    """An object's members; null for any other kind. Cheap beside schema_of_variant, which walks the whole value."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
 def _quoted(key: Column) -> Column:
@@ -62,23 +59,26 @@ def _quoted(key: Column) -> Column:
 
 
 def _merged_object(base: Column, patch: Column, depth: int) -> Column:
-    """JSON text of an object patch applied to a base of any kind; both are variants."""
+    """JSON text of the members of a patch applied to a base, a variant of any kind."""
     if depth == 0:
         return F.raise_error(F.lit(f"JSON patch nested deeper than {MERGE_DEPTH} objects")).cast("string")
 
+    def value(mine: Column, e: Column) -> Column:
+        one = F.transform(F.array(_members(e["value"])), lambda inner: F.when(inner.isNotNull(), _merged_object(F.try_element_at(mine, e["key"]), inner, depth - 1)).otherwise(F.to_json(e["value"])))
+        return one[0]
+
     def text(pair: Column) -> Column:
         mine, theirs = pair["mine"], pair["theirs"]
         rest = F.filter(F.map_entries(mine), lambda e: ~F.map_contains_key(theirs, e["key"]))
         new = F.filter(F.map_entries(theirs), lambda e: ~F.is_variant_null(e["value"]))
-        value = lambda e: F.when(_is_object(e["value"]), _merged_object(F.try_element_at(mine, e["key"]), e["value"], depth - 1)).otherwise(F.to_json(e["value"]))
         parts = F.concat(
             F.transform(rest, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.to_json(e["value"]))),
-            F.transform(new, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), value(e))),
+            F.transform(new, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), value(mine, e))),
         )
         return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
     empty = F.create_map().cast("map<string,variant>")
-    pair = F.struct(F.when(_is_object(base), _members(base)).otherwise(empty).alias("mine"), _members(patch).alias("theirs"))
+    pair = F.struct(F.coalesce(_members(base), empty).alias("mine"), patch.alias("theirs"))
     return F.transform(F.array(pair), text)[0]
 
 
@@ -86,17 +86,18 @@ def merge_patch(base: Column, patch: Column) -> Column:
     """RFC 7396 merge of two JSON texts: objects member by member at every level, null members of the patch delete,
     anything else in the patch replaces what is there. Numbers, booleans and arrays keep their kinds.
 
-    Members come in the order of their names. Null, '' and invalid text counts as {} on either side.
+    Members come in the order of their names. Null, '' and invalid text counts as {} on either side; a patch of no
+    members leaves the base, without a merge.
     """
-    mine = F.coalesce(F.try_parse_json(base), F.parse_json(F.lit("{}")))
-    theirs = F.coalesce(F.try_parse_json(patch), F.parse_json(F.lit("{}")))
-    merged = F.when(_is_object(theirs), _merged_object(mine, theirs, MERGE_DEPTH)).otherwise(F.to_json(theirs))
-    return F.to_json(F.parse_json(merged))
+    mine, theirs = F.try_parse_json(base), F.coalesce(F.try_parse_json(patch), F.parse_json(F.lit("{}")))
+    members = F.transform(F.array(F.struct(theirs.alias("v"), _members(theirs).alias("m"))), lambda t: F.when(t["m"].isNotNull(), _merged_object(mine, t["m"], MERGE_DEPTH)).otherwise(F.to_json(t["v"])))[0]
+    kept = F.when(_members(mine).isNotNull(), F.to_json(mine)).otherwise(F.lit("{}"))
+    return F.to_json(F.parse_json(F.when(patch.isNull() | (patch == "{}"), kept).otherwise(members)))
 
 
 def object_or_empty(doc: Column) -> Column:
     """The text if it is a JSON object; else, also for null, '', 'null' and arrays, {}."""
-    return F.when(kind(doc) == "Object", doc).otherwise(F.lit("{}"))
+    return F.when(_members(F.try_parse_json(doc)).isNotNull(), doc).otherwise(F.lit("{}"))
 
 
 def combined_classification(product: Column, own: Column) -> Column:
