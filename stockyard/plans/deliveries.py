@@ -52,7 +52,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of lines, upserted by key into months over two deliveries and a restart; rows without a tax go to quarantine."""
     path = shared_path(spark, "stream-upsert")
     lines = read_table(spark, sf_dir, "lineitem").withColumn("l_tax", F.expr(_NO_TAX)).withColumn("__op", F.lit("c"))
-    keys, version = ["l_orderkey", "l_linenumber"], [F.col(c) for c in _VERSION.split(", ")]
+    keys, version = ["l_orderkey", "l_linenumber"], _VERSION.split(", ")
     for k, part in enumerate((F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3)):
         deliver(lines.where(part), f"{path}/topic", 2 + k)
         stream = upserts.change_stream(spark, f"{path}/topic", lines.schema, 2)
@@ -154,7 +154,7 @@ def table_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem")
     tables.write_by_month(lines.withColumn("v", F.lit(1)), path, "l_shipdate", ["l_suppkey", "l_partkey"])
     tables.write_by_month(lines.where("l_returnflag = 'R'").withColumn("l_quantity", F.lit(0.0)).withColumn("v", F.lit(2)), path, "l_shipdate", ["l_suppkey", "l_partkey"])
-    tables.compact(spark, path, ["l_orderkey", "l_linenumber"], [F.col("v"), *(F.col(c) for c in _VERSION.split(", "))], files_per_month=2)
+    tables.compact(spark, path, ["l_orderkey", "l_linenumber"], ["v", *_VERSION.split(", ")], files_per_month=2)
     kept = tables.read_by_month(spark, path, "l_shipdate", dt.datetime(1996, 3, 15), dt.datetime(1999, 10, 20))
     return kept.groupBy(year_month(F.col("l_shipdate")).alias("ym"), "l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
 

@@ -51,7 +51,7 @@ def split_rejects(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFr
     return df.where(~bad), df.where(bad)
 
 
-def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[str], version: list[Column], ts: str) -> None:
+def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[str], version: list[Column | str], ts: str) -> None:
     """Upsert: the latest row per key of the touched months replaces those months (dynamic partition overwrite).
 
     The merged months go to a side path first: a path that is read can't be overwritten. A side path that is complete
@@ -81,7 +81,7 @@ def _put_in_place(spark: SparkSession, path: str, side: str) -> None:
         files.delete(side)
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], version: list[Column], files_per_month: int = 1) -> None:
+def compact(spark: SparkSession, path: str, keys: list[str], version: list[Column | str], files_per_month: int = 1) -> None:
     """Rewrite a month-partitioned table with the latest row per key in few, sorted files."""
     side = f"{path}__compact"
     _put_in_place(spark, path, f"{path}__merge")

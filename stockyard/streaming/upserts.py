@@ -18,7 +18,7 @@ def change_stream(spark: SparkSession, path: str, schema: StructType, files_per_
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def upsert_by_month(stream: DataFrame, path: str, keys: list[str], version: list[Column], ts: str, checkpoint: str, required: list[str] | None = None, quarantine: str | None = None, bounded: bool = True) -> StreamingQuery:
+def upsert_by_month(stream: DataFrame, path: str, keys: list[str], version: list[Column | str], ts: str, checkpoint: str, required: list[str] | None = None, quarantine: str | None = None, bounded: bool = True) -> StreamingQuery:
     """Keep the latest row per key in a month-partitioned table; rows without required columns go to quarantine.
 
     A batch that is run again merges to the same table, so the sink is idempotent.
