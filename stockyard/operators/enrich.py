@@ -28,13 +28,28 @@ class Dimension:
     merges: dict[str, str] = field(default_factory=dict)
 
 
-def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True) -> DataFrame:
+def asked_for(dimensions: list[Dimension], columns: set[str]) -> list[Dimension]:
+    """The dimensions that columns come from, directly or by a key."""
+    want, kept = set(columns), []
+    for d in reversed(dimensions):
+        if want & {*d.columns.values(), *d.overrides.values(), *d.merges.values()}:
+            kept.insert(0, d)
+            want |= set(d.on)
+    return kept
+
+
+def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True, columns: set[str] | None = None) -> DataFrame:
     """Joins in order, so that a later dimension can use a key that an earlier one brought.
 
     Conditions on a dimension are applied before its join; of its duplicates the latest row by a total order stays, so a join
     never multiplies events and a rerun gives the same rows. Small dimensions are broadcast by Spark's own size check.
+
+    columns: of the dimensions' columns only these are asked for; as joins neither drop nor multiply events, a dimension that
+    brings none of them, nor a key of one that does, is not joined. JSON that a later dimension merges is brought to normal form per dimension row, and merged where there is a patch.
     """
+    dimensions = dimensions if columns is None else asked_for(dimensions, columns)
     out, made = events, []
+    merged, normal = {n for d in dimensions for n in d.merges.values()}, set()
     for k, d in enumerate(dimensions):
         table = d.table.where(d.where) if d.where else d.table
         chosen = {**{c: n for c, n in d.columns.items()}, **{c: f"_o{k}_{n}" for c, n in [*d.overrides.items(), *d.merges.items()]}}
@@ -42,6 +57,9 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
         right = table.select(*[F.col(d.on[ek]).alias(name) for ek, name in keys.items()], *[F.col(c).alias(n) for c, n in chosen.items()], *[F.col(c).alias(f"_v{k}_{i}") for i, c in enumerate(d.version)])
         versions = [f"_v{k}_{i}" for i in range(len(d.version))]
         right = latest_by_key(right, list(keys.values()), [*versions, *chosen.values()]).drop(*versions)
+        for n in merged & set(d.columns.values()):
+            right = right.withColumn(n, merge_patch(object_or_empty(F.col(n)), F.lit("{}")))
+            normal.add(n)
         condition = None
         for ek, name in keys.items():
             test = out[ek] == right[name]
@@ -51,7 +69,10 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
         for n in d.overrides.values():
             out = out.withColumn(n, override(F.col(f"_o{k}_{n}"), F.col(n), kinds[n])).drop(f"_o{k}_{n}")
         for n in d.merges.values():
-            out = out.withColumn(n, merge_patch(object_or_empty(F.col(n)), object_or_empty(F.col(f"_o{k}_{n}")))).drop(f"_o{k}_{n}")
+            base = F.coalesce(F.col(n), F.lit("{}")) if n in normal else merge_patch(object_or_empty(F.col(n)), F.lit("{}"))
+            patch = F.col(f"_o{k}_{n}")
+            out = out.withColumn(n, F.when(patch.isNull(), base).otherwise(merge_patch(base, object_or_empty(patch)))).drop(f"_o{k}_{n}")
+            normal.add(n)
         made += list(d.columns.values())
     return fill_defaults(out, made) if defaults else out
 

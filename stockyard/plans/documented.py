@@ -34,7 +34,7 @@ _BINS = f"WITH b AS ({retail.ORACLE['bin_master_join']})"
     round(count(*) / count(DISTINCT CAST(picked_at AS DATE)), 4) AS per_day FROM p WHERE picked_at > TIMESTAMP '1970-01-01' GROUP BY 1, 2 HAVING count(*) >= 10"""
 )
 def report_worker_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.productivity(enrichments.pick_drop_enriched(spark, sf_dir), ["worker_code", "worker_name"], "picked_at", "picked_qty")
+    return reports.productivity(enrichments.pick_drop_enriched(spark, sf_dir, {"worker_code", "worker_name"}), ["worker_code", "worker_name"], "picked_at", "picked_qty")
 
 
 @query(
@@ -43,7 +43,7 @@ def report_worker_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def report_sku_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A top list: the 50 most picked SKUs."""
-    return reports.frequency(enrichments.pick_drop_enriched(spark, sf_dir), ["picked_sku_id", "sku_brand"], "picked_qty", "worker_name", 50)
+    return reports.frequency(enrichments.pick_drop_enriched(spark, sf_dir, {"sku_brand", "worker_name"}), ["picked_sku_id", "sku_brand"], "picked_qty", "worker_name", 50)
 
 
 @query(
@@ -51,7 +51,7 @@ def report_sku_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE picked_at > TIMESTAMP '1970-01-01' AND dropped_hu_created_at > TIMESTAMP '1970-01-01' GROUP BY 1"""
 )
 def report_pick_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.timing(enrichments.pick_drop_enriched(spark, sf_dir), F.month("picked_at"), "dropped_hu_created_at", "picked_at")
+    return reports.timing(enrichments.pick_drop_enriched(spark, sf_dir, {"dropped_hu_created_at"}), F.month("picked_at"), "dropped_hu_created_at", "picked_at")
 
 
 @query(
@@ -59,7 +59,7 @@ def report_pick_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE picked_qty > 0 AND sku_l0_weight > 0 GROUP BY 1, 2"""
 )
 def report_brand_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.loads(enrichments.pick_drop_enriched(spark, sf_dir), ["sku_brand", "sku_tag1"], "picked_qty", "sku_l0_weight", "picked_sku_id")
+    return reports.loads(enrichments.pick_drop_enriched(spark, sf_dir, {"sku_brand", "sku_tag1", "sku_l0_weight"}), ["sku_brand", "sku_tag1"], "picked_qty", "sku_l0_weight", "picked_sku_id")
 
 
 @query(
@@ -67,7 +67,7 @@ def report_brand_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     date_diff('minute', min(event_timestamp), max(event_timestamp)) AS minutes FROM p GROUP BY 1, 2 HAVING count(*) >= 5"""
 )
 def report_work_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.sessions(enrichments.workstation_enriched(spark, sf_dir), ["hu_id", "hu_state"], "event_timestamp", "sku_id")
+    return reports.sessions(enrichments.workstation_enriched(spark, sf_dir, {"hu_state"}), ["hu_id", "hu_state"], "event_timestamp", "sku_id")
 
 
 @query(
@@ -75,7 +75,7 @@ def report_work_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     array_to_string(list_sort(list_distinct(list(CAST(bin_id AS VARCHAR)))), ' -> ') AS path FROM p WHERE hu_code <> '' GROUP BY 1, 2 HAVING count(*) >= 3"""
 )
 def report_unit_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.movements(enrichments.workstation_enriched(spark, sf_dir).where("hu_code <> ''"), ["hu_id", "hu_code"], "bin_id", "event_timestamp", 3)
+    return reports.movements(enrichments.workstation_enriched(spark, sf_dir, {"hu_code"}).where("hu_code <> ''"), ["hu_id", "hu_code"], "bin_id", "event_timestamp", 3)
 
 
 def _position(spark: SparkSession, sf_dir: str, at: dt.datetime) -> DataFrame:

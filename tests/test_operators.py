@@ -158,3 +158,36 @@ def test_combined_view_as_function_and_dataframe(spark):
     own.createOrReplaceTempView("t_own")
     masters.register_combined(spark, "t_combined", "t_master", "t_own", ["name", "size"])
     assert sorted(map(tuple, spark.sql("SELECT * FROM t_combined(7)").collect())) == want
+
+
+def test_events_move_once_for_a_unit_and_its_kind(spark):
+    from stockyard.plans import enrichments
+
+    events = spark.createDataFrame([(1, 1, 1, 2), (2, 1, 2, 1), (1, 2, 3, None), (1, 9, None, 3)], "wh_id bigint, sku_id bigint, hu_id bigint, outer_hu_id bigint").withColumn("effective_storage_id", F.col("wh_id"))
+    units = spark.createDataFrame([(1, "x", 7), (2, "y", 8), (3, "z", None)], "id bigint, state string, kindId bigint")
+    kinds = spark.createDataFrame([(7, "seven"), (0, "none")], "id bigint, name string")
+    bins = spark.createDataFrame([(1, "b1")], "bin_id bigint, code string")
+    master = spark.createDataFrame([(1, "one", '{"a":1,"b":{"c":2}}'), (2, "two", "[1]")], "id bigint, name string, classifications string")
+    own = spark.createDataFrame([(1, 1, True, "own", '{"b":{"c":null,"d":3}}'), (2, 1, True, "", "broken"), (9, 1, True, "new", '{"n":1,"m":null}')], "sku_id bigint, node_id bigint, active boolean, name string, classifications string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = enrichments.inventory(events, units, kinds, bins, master, own)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.wh_id, r.sku_id): (r.hu_state, r.hu_kind_name, r.outer_hu_kind_name, r.sku_name, r.sku_combined_classification) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {
+        (1, 1): ("x", "seven", "", "own", '{"a":1,"b":{"d":3}}'), (2, 1): ("y", "", "seven", "one", '{"a":1,"b":{"c":2}}'),
+        (1, 2): ("z", "", "", "two", "{}"), (1, 9): ("", "", "", "new", '{"n":1}'),
+    }
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert moves and not any("hu_kind_id" in line for line in moves)
+
+
+def test_reports_join_only_the_dimensions_they_use(spark, sf_dir):
+    from stockyard.plans import documented
+
+    for name, files in (("report_worker_productivity", {"lineitem", "orders", "customer"}), ("report_unit_movements", {"lineitem", "orders"}), ("report_work_sessions", {"lineitem", "orders"})):
+        read = {f.rsplit("/", 1)[1] for f in documented.QUERIES[name](spark, sf_dir).inputFiles()}
+        assert read == {f"{f}.parquet" for f in files}
