@@ -32,8 +32,12 @@ def query(oracle: str):
     return add
 
 
+#: A file of a delivery is this many Parquet files: they are written and read side by side, in the same micro-batches.
+SPREAD = 12
+
+
 def deliver(rows: DataFrame, path: str, files: int) -> None:
-    rows.repartition(files).write.mode("append").parquet(path)
+    rows.repartition(files * SPREAD).write.mode("append").parquet(path)
 
 
 def _version(alias: str = "") -> str:
@@ -55,7 +59,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys, version = ["l_orderkey", "l_linenumber"], _VERSION.split(", ")
     for k, part in enumerate((F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3)):
         deliver(lines.where(part), f"{path}/topic", 2 + k)
-        stream = upserts.change_stream(spark, f"{path}/topic", lines.schema, 2)
+        stream = upserts.change_stream(spark, f"{path}/topic", lines.schema, 2 * SPREAD)
         upserts.upsert_by_month(stream, f"{path}/table", keys, version, "l_shipdate", f"{path}/checkpoint", [*keys, "l_tax"], f"{path}/quarantine").awaitTermination()
     columns = [*keys, "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_tax"]
     good = tables.read_by_month(spark, f"{path}/table", "l_shipdate").select(*columns, F.lit("table").alias("held_in"))
@@ -71,6 +75,7 @@ def stream_ttl_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "ttl-join")
     customer, orders = (read_table(spark, sf_dir, t) for t in ("customer", "orders"))
     left = customer.select("c_custkey", "c_name", F.lit(-1).cast("bigint").alias("v"))
+    left, orders = left.where("c_custkey IS NOT NULL"), orders.where("o_custkey IS NOT NULL AND o_orderkey IS NOT NULL")
     right = orders.select("o_custkey", "o_orderkey", "o_totalprice")
     done = F.col("o_orderstatus") == "F"
     deliver(left, f"{path}/left", 1)
@@ -120,7 +125,7 @@ def stream_pause_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("user_id", "event_type", "value", "ts")
 
     def begin(checkpoint: str):
-        stream = upserts.change_stream(spark, f"{path}/topic", events.schema, 2)
+        stream = upserts.change_stream(spark, f"{path}/topic", events.schema, 2 * SPREAD)
         totals = stream.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.max("ts").alias("last_ts"))
         return keyed_log.append(totals, path, checkpoint, bounded=False, seconds=1)
 

@@ -1,6 +1,8 @@
 import datetime as dt
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from stockyard.sources import tables
@@ -77,6 +79,46 @@ def test_left_join_with_ttl(spark, tmp_path):
     assert '"l1b"' in last["k1"].left_row and '"r1"' in last["k1"].right_row and last["k2"].right_row is None
 
 
+class _Kept:
+    """A value of the state store that counts its calls."""
+
+    def __init__(self):
+        self.row, self.calls = None, 0
+
+    def exists(self):
+        self.calls += 1
+        return self.row is not None
+
+    def get(self):
+        self.calls += 1
+        return self.row
+
+    def update(self, row):
+        self.calls += 1
+        self.row = row
+
+
+def test_ttl_state_is_called_per_bucket_and_expires_per_key():
+    kept = {"left": _Kept(), "right": _Kept()}
+    pairs = ttl_join.LatestPairs(1000)
+    pairs.init(SimpleNamespace(getValueState=lambda name, schema, ttlDurationMs: kept[name]))
+
+    def arrive(now, *rows):
+        for s in kept.values():
+            s.calls = 0
+        frames = [pd.DataFrame([r], columns=["side", "key", "version", "payload"]) for r in rows]
+        out = [r for f in pairs.handleInputRows((0,), iter(frames), SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)) for r in f.itertuples(index=False)]
+        assert all(s.calls <= 2 for s in kept.values())
+        return {r.key: (r.version, r.left_row, r.right_row) for r in out}
+
+    many = {f"k{i}": (1, f"l{i}", None) for i in range(500)}
+    assert arrive(0, *(("left", k, v, x) for k, (v, x, _) in many.items())) == many
+    assert arrive(600, ("left", "k1", 3, "new"), ("left", "k2", 0, "stale"), ("right", "k1", 2, "r"), ("right", "gone", 1, "r")) == {"k1": (3, "new", "r"), "k2": (1, "l2", None)}
+    assert arrive(1000, ("right", "k1", 9, "r9"), ("right", "k2", 9, "r9")) == {"k1": (9, "new", "r9")}  # k2 was not renewed by k1, nor by an older version
+    assert arrive(1999, ("left", "k2", 1, "back")) == {"k2": (9, "back", "r9")}
+    assert arrive(2000, ("left", "k2", 1, "late")) == {"k2": (1, "late", None)}
+
+
 def test_the_store_of_the_session_comes_back(spark):
     key = ttl_join.PROVIDER
     before = spark.conf.get(key)
