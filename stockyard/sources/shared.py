@@ -45,6 +45,11 @@ class Files:
         store, at = self._at(path)
         return sorted(x.getPath().getName() for x in store.listStatus(at) if x.isDirectory()) if store.exists(at) else []
 
+    def make(self, path: str) -> None:
+        """A folder, unless it is there."""
+        store, at = self._at(path)
+        store.mkdirs(at)
+
     def delete(self, path: str) -> bool:
         store, at = self._at(path)
         return store.delete(at, True)

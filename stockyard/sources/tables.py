@@ -51,11 +51,13 @@ def split_rejects(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFr
     return df.where(~bad), df.where(bad)
 
 
-def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[str], version: list[Column | str], ts: str) -> None:
-    """Upsert: the latest row per key of the touched months replaces those months (dynamic partition overwrite).
+def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[str], version: list[Column | str], ts: str, files_per_month: int = 4) -> None:
+    """Upsert: the latest row per key of the touched months replaces those months.
 
     The merged months go to a side path first: a path that is read can't be overwritten. A side path that is complete
-    but still there is of a run that died while it overwrote months; it is put in place first, so nothing is lost.
+    but still there is of a run that died while it replaced months; it is put in place first, so nothing is lost.
+
+    Rows move and are sorted once: a slot of a month holds whole keys, so it is merged and written where it is.
     """
     _put_in_place(spark, path, f"{path}__merge")
     new = new.withColumn("ym", year_month(F.col(ts)))
@@ -63,21 +65,29 @@ def merge_by_month(spark: SparkSession, path: str, new: DataFrame, keys: list[st
     if not months:
         return
     try:
-        old = spark.read.option("basePath", path).parquet(path).withColumn("ym", F.col("ym").cast("string")).where(F.col("ym").isin(months))
-        new = old.unionByName(new)
+        old = spark.read.option("basePath", path).parquet(path).withColumn("ym", F.col("ym").cast("string"))
+        touched = F.col("ym").isin([m for m in months if m is not None])
+        new = old.where(touched | F.col("ym").isNull() if None in months else touched).unionByName(new)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
     side = f"{path}__merge"
-    latest_by_key(new, [*keys, "ym"], version).write.mode("overwrite").partitionBy("ym").parquet(side)
+    slots = new.withColumn("_slot", F.pmod(F.xxhash64(*keys), F.lit(files_per_month))).repartition("ym", "_slot")
+    latest_by_key(slots, ["ym", "_slot", *keys], version).drop("_slot").write.mode("overwrite").partitionBy("ym").parquet(side)
     _put_in_place(spark, path, side)
 
 
 def _put_in_place(spark: SparkSession, path: str, side: str) -> None:
-    """The months of a complete side path replace those of the table; then the side path goes."""
+    """The months of a complete side path replace those of the table, by renames; then the side path goes.
+
+    A month that has been moved is no longer in the side path, so after a crash the others follow.
+    """
     files = Files(spark)
     if files.exists(f"{side}/_SUCCESS"):
-        spark.read.option("basePath", side).parquet(side).withColumn("ym", F.col("ym").cast("string")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+        files.make(path)
+        for month in files.folders(side):
+            files.delete(f"{path}/{month}")
+            files.rename(f"{side}/{month}", f"{path}/{month}")
         files.delete(side)
 
 

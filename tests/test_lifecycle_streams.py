@@ -373,6 +373,28 @@ def test_merge_recovers_months_of_a_run_that_died(spark, tmp_path, monkeypatch):
     assert not Files(spark).exists(f"{path}__merge")
 
 
+def test_merge_moves_months_and_goes_on_after_a_crash(spark, tmp_path, monkeypatch):
+    path, jan, feb = f"{tmp_path}/t", dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    rows = lambda *x: spark.createDataFrame(x, "id string, v int, ts timestamp_ntz")
+    merge = lambda new: tables.merge_by_month(spark, path, new, ["id"], [F.col("v")], "ts")
+    merge(rows(("a", 1, jan), ("b", 1, feb), ("n", 1, None)))
+    real, moved = Files.rename, []
+
+    def rename(self, at, to):
+        if moved:
+            raise OSError("lost")
+        moved.append(to)
+        real(self, at, to)
+
+    with monkeypatch.context() as m:
+        m.setattr(Files, "rename", rename)
+        with pytest.raises(OSError):
+            merge(rows(("a", 2, jan), ("b", 2, feb), ("m", 1, None)))
+    merge(rows(("c", 1, jan)))
+    assert sorted((r.id, r.v) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 2), ("c", 1), ("m", 1), ("n", 1)]
+    assert not Files(spark).exists(f"{path}__merge")
+
+
 def test_lenient_times(spark):
     texts = ["2024-02-29T01:02:03Z", "2024-02-29 01:02:03.500", " 2024-02-29 ", "29.02.2024", "20240229010203", "1709168523", "1709168523000", "2024-02-30", "", None, "soon"]
     got = [r.t for r in spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string").select("k", times.parse_lenient(F.col("x")).alias("t")).orderBy("k").collect()]
