@@ -265,8 +265,8 @@ def backfill_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, lines, part = shared_path(spark, "backfill"), read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")
     december = lines.where(F.month("l_shipdate") == 12)
     star = lambda rows: enrich.enrich(rows, [enrich.Dimension(part, {"l_partkey": "p_partkey"}, {"p_name": "part", "p_brand": "brand"})])
-    backfill.backfill(spark, december.where(F.year("l_shipdate") < 1994), "l_shipdate", f"{path}/table", star, f"{path}/first")
-    return backfill.backfill(spark, december, "l_shipdate", f"{path}/table", star, f"{path}/second")
+    backfill.backfill(spark, december.where(F.year("l_shipdate") < 1994), "l_shipdate", f"{path}/table", star, f"{path}/first", months_per_job=12)
+    return backfill.backfill(spark, december, "l_shipdate", f"{path}/table", star, f"{path}/second", months_per_job=12)
 
 
 @query(

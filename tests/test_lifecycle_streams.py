@@ -441,6 +441,34 @@ def test_backfill_goes_on_after_a_crash(spark, tmp_path):
     assert [tuple(r) for r in again.collect()] == [("202402", 10, 10, 10)] and spark.read.parquet(path).count() == 30
 
 
+def test_backfill_enriches_months_together(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(k, dt.datetime(2024, 1 + k % 5, 5)) for k in range(50)], "id int, ts timestamp_ntz")
+    path, commits, seen = f"file:{tmp_path}/t", f"file:{tmp_path}/c", []
+
+    def star(df):
+        seen.append(sorted({r.ts.month for r in df.collect()}))
+        return df.withColumn("more", F.lit(1))
+
+    real = Files.rename
+
+    def rename(self, at, to):
+        if to.endswith("202402") and len(seen) == 1:
+            raise OSError("lost")
+        real(self, at, to)
+
+    monkeypatch.setattr(Files, "rename", rename)
+    months = [f"20240{m}" for m in range(1, 7)]
+    with pytest.raises(OSError):
+        backfill.backfill(spark, rows, "ts", path, star, commits, months, months_per_job=4)
+    report = backfill.backfill(spark, rows, "ts", path, star, commits, months, months_per_job=4)
+    assert seen == [[1, 2, 3, 4], [2, 3, 4, 5], []]  # January was done; June has no rows
+    assert [tuple(r) for r in report.collect()] == [*((ym, 0, 10, 10) for ym in months[:5]), (months[5], 0, 0, 0)]
+    assert spark.read.parquet(path).where("more = 1").count() == 50
+    with pytest.raises(backfill.WrongCount):
+        backfill.backfill(spark, rows, "ts", path, lambda df: df.where("id <> 7"), f"{commits}2", months_per_job=5)
+    assert spark.read.parquet(path).where("id = 7").count() == 1
+
+
 def test_windows_close_by_watermark(spark, tmp_path):
     """Rows later than the watermark allows don't change a window; rows within it do."""
     src, out = f"{tmp_path}/src", f"{tmp_path}/out"
