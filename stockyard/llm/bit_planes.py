@@ -35,6 +35,7 @@ BLOCK_SCHEMA = (
     "doc_ids array<bigint>, doc_starts array<bigint>, doc_lengths array<bigint>"
 )
 PART_SCHEMA = "shard int, doc_id bigint, doc_start bigint, n_tokens bigint, part_first bigint, part_length bigint, crc bigint"
+DOCUMENT_SCHEMA = "shard int, doc_id bigint, doc_start bigint, n_tokens bigint, ids_crc32 bigint"
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -75,27 +76,35 @@ def from_planes(sizes: list[int], planes: bytes, n_ids: int, mode: str) -> np.nd
     return np.ascontiguousarray(out.T).view("<u4").reshape(-1)
 
 
+#: What 2**k zero bytes do to a crc32, as 32 columns, for each k met so far.
+_ZEROS: list[list[int]] = []
+
+
+def _times(m: list[int], v: int) -> int:
+    out, k = 0, 0
+    while v:
+        if v & 1:
+            out ^= m[k]
+        v, k = v >> 1, k + 1
+    return out
+
+
+def _zeros(k: int) -> list[int]:
+    if not _ZEROS:
+        step = [0xEDB88320] + [1 << j for j in range(31)]
+        for _ in range(3):  # one zero bit -> one zero byte
+            step = [_times(step, x) for x in step]
+        _ZEROS.append(step)
+    while len(_ZEROS) <= k:
+        _ZEROS.append([_times(_ZEROS[-1], x) for x in _ZEROS[-1]])
+    return _ZEROS[k]
+
+
 def crc32_combine(a: int, b: int, length: int) -> int:
     """crc32 of two strings one after the other, from both checksums and the second's length in bytes."""
-    odd = [0xEDB88320] + [1 << k for k in range(31)]
-
-    def times(m: list[int], v: int) -> int:
-        out, k = 0, 0
-        while v:
-            if v & 1:
-                out ^= m[k]
-            v, k = v >> 1, k + 1
-        return out
-
-    step = odd
-    for _ in range(3):  # one zero bit -> one zero byte
-        step = [times(step, x) for x in step]
-    while length:
-        if length & 1:
-            a = times(step, a)
-        length >>= 1
-        if length:
-            step = [times(step, x) for x in step]
+    for k in range(length.bit_length()):
+        if length >> k & 1:
+            a = _times(_zeros(k), a)
     return a ^ b
 
 
@@ -159,39 +168,47 @@ def _parts(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
 
+def _documents(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Documents from parts in the order of their shards and starts; a document's parts may come in several batches."""
+    import pyarrow.compute as pc
+
+    length = crc = 0  # of a document that is not complete yet
+    for batch in batches:
+        whole = pc.equal(batch.column("part_length"), batch.column("n_tokens"))
+        done = batch.filter(whole)
+        yield pa.RecordBatch.from_arrays([done.column(k) for k in (0, 1, 2, 3, 6)], schema=schema)
+        out = []
+        for shard, doc_id, start, n, first, part, part_crc in zip(*(c.to_pylist() for c in batch.filter(pc.invert(whole)).columns), strict=True):
+            if first != length:
+                raise ValueError(f"document {doc_id} of shard {shard}: ids {length} to {first} are in no block")
+            length, crc = length + part, crc32_combine(crc, part_crc, 4 * part)
+            if length == n:
+                out.append((shard, doc_id, start, n, crc))
+                length = crc = 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+    if length:
+        raise ValueError(f"the last {length} ids read are of a document without its end")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    Blocks are decoded apart from each other; only documents that lie in several blocks are brought together, as the
-    checksums of their parts.
+    Blocks are decoded once and apart from each other; what is brought together of documents that lie in several blocks
+    are the checksums of their parts.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    schema = to_arrow_schema(StructType.fromDDL(PART_SCHEMA))
+    part_schema, schema = (to_arrow_schema(StructType.fromDDL(s)) for s in (PART_SCHEMA, DOCUMENT_SCHEMA))
     blocks = spark.read.parquet(path)
     totals = blocks.groupBy("shard").agg(F.max(F.col("first") + F.col("n_ids")).alias("ids"))
     # One row per shard.
     bases = totals.select("shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("base"))
-    parts = blocks.mapInArrow(lambda it: _parts(it, schema), PART_SCHEMA)
-
-    @F.udf("bigint")
-    def joined(each):
-        crc, _, length = each[0]["crc"], None, each[0]["part_length"]
-        for p in each[1:]:
-            crc = crc32_combine(crc, p["crc"], 4 * p["part_length"])
-            length += p["part_length"]
-        return crc
-
-    whole = parts.where("part_length = n_tokens").select("shard", "doc_id", "doc_start", "n_tokens", F.col("crc").alias("ids_crc32"))
-    split = (
-        parts.where("part_length < n_tokens")
-        .groupBy("shard", "doc_id", "doc_start", "n_tokens")
-        .agg(F.sort_array(F.collect_list(F.struct("part_first", "part_length", "crc"))).alias("p"))
-        .select("shard", "doc_id", "doc_start", "n_tokens", joined("p").alias("ids_crc32"))
-    )
+    parts = blocks.mapInArrow(lambda it: _parts(it, part_schema), PART_SCHEMA)
+    ordered = parts.repartition("shard", "doc_start").sortWithinPartitions("shard", "doc_start", "part_first")
     return restored(
-        whole.unionByName(split)
+        ordered.mapInArrow(lambda it: _documents(it, schema), DOCUMENT_SCHEMA)
         .join(bases, "shard")
         .select("doc_id", (F.col("base") + F.col("doc_start")).alias("start"), "n_tokens", "ids_crc32")
     )

@@ -1,27 +1,36 @@
 """Token ids of whole texts, by the tokenizers library with a cache of words.
 
 The tokenizer drops white space and never joins text across it, so a text's ids are its words' ids in order. Each
-worker keeps the ids of words it has met, as little-endian 32-bit bytes; only new words go to the library. A new word
-of Latin letters and punctuation after them is two pieces of the tokenizer's own split, which go to its model directly
-in lower case; any other word takes the library's full path.
+worker keeps the ids of words it has met, as little-endian 32-bit bytes; only new words go to the library. To have fewer
+of them, texts are brought to lower case first and punctuation at a word's end becomes a word, where the tokenizer's own
+split does the same. A new word of Latin letters or of punctuation is one piece of that split and goes to its model
+directly; any other word takes the library's full path.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
-
-import numpy as np
+import struct
+from itertools import islice
 
 from .common import tokenizer_file
 
-#: Words kept per worker; the cache starts anew beyond it, results do not depend on it.
+#: Words kept per worker; beyond it and after each task only the first KEPT_WORDS stay, results do not depend on it.
 CACHE_WORDS = 500_000
+KEPT_WORDS = 250_000
 #: Longer words go to the library each time.
 CACHE_WORD_BYTES = 64
 
-#: Letters of ASCII and U+00C0 to U+00FF, then ASCII punctuation other than the apostrophe.
-PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+#: Punctuation of ASCII other than the apostrophe; letters of ASCII and U+00C0 to U+00FF (possessive: linear).
+MARK = rb"[!-&(-/:-@\[-`{-~]"
+WIDE_LETTER = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+PIECE = re.compile(rb"(?:[A-Za-z]++|" + WIDE_LETTER + rb")++|" + MARK + rb"++")
+#: Punctuation from a letter to the end of the word.
+TAIL = re.compile(MARK + rb"(?:(?<=[A-Za-z].)|(?<=" + WIDE_LETTER + rb".))" + MARK + rb"*+(?=[ \t-\r]|\Z)", re.DOTALL)
+#: Bytes of characters under U+0300: no text of them alone holds marks that combine with a letter of one case only.
+NO_COMBINING = bytes(range(0xCC))
 
 
 def byte_characters() -> dict[int, str]:
@@ -31,6 +40,29 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class Words(dict):
+    """Ids by word: those of a word that is not there are made, and kept if it is short."""
+
+    def __init__(self, encoder: WordEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encoder.new(word)
+        if len(word) <= CACHE_WORD_BYTES:
+            if len(self) >= CACHE_WORDS:
+                self.shrink()
+            self[word] = ids
+        return ids
+
+    def shrink(self) -> None:
+        """Leave the words met first: the frequent ones are among them."""
+        if len(self) > KEPT_WORDS:
+            first = list(islice(self.items(), KEPT_WORDS))
+            self.clear()
+            self.update(first)
+
+
 class WordEncoder:
     def __init__(self, tokenizer: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -38,62 +70,43 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(tokenizer))
         self.model = self.tokenizer.model
-        self.cache: dict[bytes, bytes] = {}
-        self.characters = byte_characters()
+        self.words = Words(self)
+        shown = byte_characters()
+        self.characters = "".join([shown[b] for b in range(256)])
+        #: Tokens that the library finds before it splits, in lower case.
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Whether the split above is this tokenizer's own; else every new word takes the full path.
-        self.plain = all(
-            self._plain(w.encode()) == self._full([w.encode()])[0] for w in ("Word", "éÀüß", "word,", "Été.%%", "a", "X-", "naïve...", "won)*")
-        )
+        self.plain = True
+        tried = [w.encode() for w in ("Word", "éÀüß", "word,", "Été.%%", "a", "X-", "naïve...", "won)*", "É", "...")]
+        self.plain = all(self.encode(w) == self._full(w) for w in tried)
+        self.words.clear()
 
     def forget(self) -> None:
-        """Free the cache, at the end of a task: workers stay, and other tasks need their memory."""
-        self.cache = {}
-
-    def _ids(self, piece: bytes) -> bytes:
-        ids = self.cache.get(piece)
-        if ids is None:
-            shown = piece.decode() if piece.isascii() else "".join([self.characters[b] for b in piece])
-            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(piece) <= CACHE_WORD_BYTES:
-                self.cache[piece] = ids
-        return ids
-
-    def _plain(self, word: bytes) -> bytes | None:
-        found = PLAIN.fullmatch(word)
-        if not found:
-            return None
-        letters, marks = found.groups()
-        letters = letters.lower() if letters.isascii() else letters.decode().lower().encode()
-        return self._ids(letters) + self._ids(marks) if marks else self._ids(letters)
-
-    def _full(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
-        found, other = {}, []
-        for w in words:
-            ids = self._plain(w) if self.plain else None
-            if ids is None:
-                other.append(w)
-            else:
-                found[w] = ids
-        if other:
-            found.update(zip(other, self._full(other), strict=True))
-        return found
+        """Free most of the cache, at the end of a task: workers stay, and other tasks need their memory."""
+        self.words.shrink()
+
+    def _full(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([word.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def new(self, word: bytes) -> bytes:
+        """The ids of one word, by the library."""
+        if not self.plain or not PIECE.fullmatch(word):
+            return self._full(word)
+        if word.isascii():
+            shown = word.decode().lower()
+        else:
+            lower = word.decode().lower().encode()
+            if lower != word:
+                return self.words[lower]
+            shown = codecs.charmap_decode(word, "strict", self.characters)[0]
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
-        words = text.split()
-        try:
-            return b"".join([self.cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(words) > CACHE_WORDS:  # one very long text: in parts
-            half = len(words) // 2
-            return self.encode(b" ".join(words[:half])) + self.encode(b" ".join(words[half:]))
-        if len(self.cache) + 2 * len(words) > 2 * CACHE_WORDS:
-            self.cache = {}
-        new = self._new({w for w in words if w not in self.cache})
-        self.cache.update((w, ids) for w, ids in new.items() if len(w) <= CACHE_WORD_BYTES)
-        return b"".join([self.cache[w] if w in self.cache else new[w] for w in words])
+        if self.plain:
+            lower = text.lower()
+            if not any(t in lower for t in self.added):
+                text = TAIL.sub(rb" \g<0>", text if text.translate(None, NO_COMBINING) else lower)
+        return b"".join(map(self.words.__getitem__, text.split()))
