@@ -13,13 +13,12 @@ import codecs
 import os
 import re
 import struct
-from itertools import islice
 
 from .common import tokenizer_file
 
 #: Words kept per worker; beyond it and after each task only the first KEPT_WORDS stay, results do not depend on it.
 CACHE_WORDS = 500_000
-KEPT_WORDS = 250_000
+KEPT_WORDS = 300_000
 #: Longer words go to the library each time.
 CACHE_WORD_BYTES = 64
 
@@ -57,10 +56,8 @@ class Words(dict):
 
     def shrink(self) -> None:
         """Leave the words met first: the frequent ones are among them."""
-        if len(self) > KEPT_WORDS:
-            first = list(islice(self.items(), KEPT_WORDS))
-            self.clear()
-            self.update(first)
+        for _ in range(len(self) - KEPT_WORDS):
+            self.popitem()
 
 
 class WordEncoder:
