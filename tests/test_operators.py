@@ -92,6 +92,31 @@ def test_products_of_skus_and_sites_are_not_shuffled(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_pairs_of_skus_and_sites_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(masters, "BLOCK", 2, raising=False)
+    skus = [(k, "ab"[k % 2], float(k), f"n{k}", k % 3 > 0) for k in range(7)]
+    master = spark.createDataFrame([*skus, (None, "a", 9.0, "no id", True), (8, None, 8.0, "no product", True)], "sku_id bigint, product_id string, size double, name string, active boolean")
+    node = spark.createDataFrame([(k, s, 5.0, "own", True) for k in range(7) for s in range(k)] + [(1, None, 5.0, "no site", True)], "sku_id bigint, node_id bigint, size double, name string, active boolean")
+    sites = [(s,) for s in range(5)]
+    got = masters.sku_combined_everywhere(master, node, spark.createDataFrame([*sites, (None,)], "node_id bigint"), ["size", "name"]).collect()
+    want = [(s, k, *((5.0, "own", True) if k is not None and s is not None and s < k < 7 else (size, name, False))) for k, _, size, name, active in [*skus, (None, "a", 9.0, "no id", True), (8, None, 8.0, "no product", True)] for (s,) in [*sites, (None,)] if active or k is not None and s is not None and s < k < 7]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    pnode = spark.createDataFrame([(p, s, s % 2 == 0) for p in "ab" for s in (*range(5), 9, 9)] + [("a", None, True), (None, 1, True), ("c", 1, True)], "product_id string, node_id bigint, active boolean")
+    rest = masters.sku_overrides(node, pnode, master, {"size": T.DoubleType(), "name": T.StringType()}).where("level = 'product'").collect()
+    want = [(k, s, size, name, s % 2 == 0 if s is not None else True) for k, p, size, name, _ in [*skus, (None, "a", 9.0, "no id", True)] for s in (*range(5), 9, 9, *([None] if p == "a" else [])) if k is None or s is None or s >= k]
+    assert sorted(map(str, ((r.sku_id, r.node_id, r.size, r.name, r.active) for r in rest))) == sorted(map(str, want))
+
+
+def test_written_pairs_of_skus_and_sites_stay_small(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(masters, "PARTS", 4, raising=False)
+    master = spark.range(400).selectExpr("id AS sku_id", "concat('name ', id % 90) AS name", "CAST(id % 50 AS double) AS size", "true AS active")
+    node = spark.range(400).selectExpr("id AS sku_id", "id * 37 % 3000 AS node_id", "'own' AS name", "1.0D AS size", "true AS active")
+    every = masters.sku_combined_everywhere(master, node, spark.range(3000).select(F.xxhash64("id").alias("node_id")).unionByName(node.select("node_id").distinct()), ["size", "name"])
+    every.write.parquet(f"{tmp_path}/every")
+    files = list((tmp_path / "every").glob("*.parquet"))
+    assert len(files) > 3 and sum(f.stat().st_size for f in files) < 1.0 * spark.read.parquet(f"{tmp_path}/every").count()
+
+
 def _events(spark, rows):
     return spark.createDataFrame(rows, "id bigint, wh bigint, item string, qty double, ts timestamp_ntz, note string")
 
