@@ -26,6 +26,10 @@ class Dimension:
     overrides: dict[str, str] = field(default_factory=dict)
     #: JSON columns of an override table -> output columns over whose objects theirs are merged.
     merges: dict[str, str] = field(default_factory=dict)
+    #: The table has one row per key already.
+    unique: bool = False
+    #: Sent to every executor whatever Spark takes its size to be, so that events don't move for it.
+    small: bool = False
 
 
 def asked_for(dimensions: list[Dimension], columns: set[str]) -> list[Dimension]:
@@ -43,12 +47,14 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
 
     Conditions on a dimension are applied before its join; of its duplicates the latest row by a total order stays, so a join
     never multiplies events and a rerun gives the same rows. Small dimensions are broadcast by Spark's own size check.
+    An override may be joined before the dimension that it overrides: it counts as soon as that is there, so that events move
+    for it while they are narrow.
 
     columns: of the dimensions' columns only these are asked for; as joins neither drop nor multiply events, a dimension that
     brings none of them, nor a key of one that does, is not joined. JSON that a later dimension merges is brought to normal form per dimension row, and merged where there is a patch.
     """
     dimensions = dimensions if columns is None else asked_for(dimensions, columns)
-    out, made = events, []
+    out, made, open_ones = events, [], []
     merged, normal = {n for d in dimensions for n in d.merges.values()}, set()
     for k, d in enumerate(dimensions):
         table = d.table.where(d.where) if d.where else d.table
@@ -56,7 +62,7 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
         keys = {ek: f"_k{k}_{i}" for i, ek in enumerate(d.on)}
         right = table.select(*[F.col(d.on[ek]).alias(name) for ek, name in keys.items()], *[F.col(c).alias(n) for c, n in chosen.items()], *[F.col(c).alias(f"_v{k}_{i}") for i, c in enumerate(d.version)])
         versions = [f"_v{k}_{i}" for i in range(len(d.version))]
-        right = latest_by_key(right, list(keys.values()), [*versions, *chosen.values()]).drop(*versions)
+        right = (right if d.unique else latest_by_key(right, list(keys.values()), [*versions, *chosen.values()])).drop(*versions)
         for n in merged & set(d.columns.values()):
             right = right.withColumn(n, merge_patch(object_or_empty(F.col(n)), F.lit("{}")))
             normal.add(n)
@@ -64,16 +70,21 @@ def enrich(events: DataFrame, dimensions: list[Dimension], defaults: bool = True
         for ek, name in keys.items():
             test = out[ek] == right[name]
             condition = test if condition is None else condition & test
-        kinds = {f.name: f.dataType for f in out.schema}
-        out = out.join(right, condition, "left").drop(*keys.values())
-        for n in d.overrides.values():
-            out = out.withColumn(n, override(F.col(f"_o{k}_{n}"), F.col(n), kinds[n])).drop(f"_o{k}_{n}")
-        for n in d.merges.values():
-            base = F.coalesce(F.col(n), F.lit("{}")) if n in normal else merge_patch(object_or_empty(F.col(n)), F.lit("{}"))
-            patch = F.col(f"_o{k}_{n}")
-            out = out.withColumn(n, F.when(patch.isNull(), base).otherwise(merge_patch(base, object_or_empty(patch)))).drop(f"_o{k}_{n}")
-            normal.add(n)
+        out = out.join(F.broadcast(right) if d.small else right, condition, "left").drop(*keys.values())
+        open_ones.append((k, d))
+        for j, o in [x for x in open_ones if {*x[1].overrides.values(), *x[1].merges.values()} <= set(out.columns)]:
+            kinds = {f.name: f.dataType for f in out.schema}
+            for n in o.overrides.values():
+                out = out.withColumn(n, override(F.col(f"_o{j}_{n}"), F.col(n), kinds[n])).drop(f"_o{j}_{n}")
+            for n in o.merges.values():
+                base = F.coalesce(F.col(n), F.lit("{}")) if n in normal else merge_patch(object_or_empty(F.col(n)), F.lit("{}"))
+                patch = F.col(f"_o{j}_{n}")
+                out = out.withColumn(n, F.when(patch.isNull(), base).otherwise(merge_patch(base, object_or_empty(patch)))).drop(f"_o{j}_{n}")
+                normal.add(n)
+            open_ones.remove((j, o))
         made += list(d.columns.values())
+    if open_ones:
+        raise ValueError(f"no dimension brings what these override: {[(d.overrides, d.merges) for _, d in open_ones]}")
     return fill_defaults(out, made) if defaults else out
 
 

@@ -210,6 +210,39 @@ def test_events_move_once_for_a_unit_and_its_kind(spark):
     assert moves and not any("hu_kind_id" in line for line in moves)
 
 
+def _moves(df):
+    """Keys by which the events move, from the last move to the first: the exchanges on the left sides of the joins."""
+    node, keys = df._jdf.queryExecution().executedPlan(), []
+    node = node.initialPlan()
+    while node.children().size():
+        if node.nodeName() == "Exchange":
+            keys.append(node.outputPartitioning().expressions().size())
+        node = node.children().head()
+    return keys
+
+
+def test_events_move_once_for_what_hangs_on_their_order(spark, sf_dir):
+    from stockyard.plans import enrichments
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _moves(enrichments.pick_drop_enriched(spark, sf_dir)) == [1, 2, 1]  # SKU, SKU and site, order
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_an_override_may_come_before_what_it_overrides(spark):
+    events = spark.createDataFrame([(1, "s", 5), (2, "s", 6), (3, "t", 5)], "id int, sku string, site int")
+    master = enrich.Dimension(spark.createDataFrame([("s", "master", 3, '{"a":1}')], "sku string, name string, size int, j string"), {"sku": "sku"}, {"name": "sku_name", "size": "sku_size", "j": "sku_j"})
+    own = enrich.Dimension(spark.createDataFrame([("s", 5, "own", 0, '{"b":2}'), ("t", 5, "alone", 7, '{"c":3}')], "sku string, node int, name string, size int, j string"), {"sku": "sku", "site": "node"}, {}, overrides={"name": "sku_name", "size": "sku_size"}, merges={"j": "sku_j"})
+    want = [(1, "own", 3, '{"a":1,"b":2}'), (2, "master", 3, '{"a":1}'), (3, "alone", 7, '{"c":3}')]
+    for dimensions in ([master, own], [own, master]):
+        out = enrich.enrich(events, dimensions)
+        assert out.columns == ["id", "sku", "site", "sku_name", "sku_size", "sku_j"]
+        assert sorted((r.id, r.sku_name, r.sku_size, r.sku_j) for r in out.collect()) == want
+
+
 def test_reports_join_only_the_dimensions_they_use(spark, sf_dir):
     from stockyard.plans import documented
 
