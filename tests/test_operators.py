@@ -117,6 +117,19 @@ def test_written_pairs_of_skus_and_sites_stay_small(spark, monkeypatch, tmp_path
     assert len(files) > 3 and sum(f.stat().st_size for f in files) < 1.0 * spark.read.parquet(f"{tmp_path}/every").count()
 
 
+def test_overrides_of_products_are_dealt_evenly_and_written_small(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(masters, "PARTS", 8, raising=False)
+    master = spark.range(400).selectExpr("id AS sku_id", "'p' AS product_id", "concat('name ', id % 90) AS name", "CAST(id % 50 AS double) AS size", "true AS active")
+    node = spark.range(400).selectExpr("id AS sku_id", "id * 37 % 3000 AS node_id", "'own' AS name", "1.0D AS size", "true AS active")
+    pnode = spark.range(3000).selectExpr("'p' AS product_id", "id AS node_id", "id % 2 = 0 AS active")
+    masters.sku_overrides(node, pnode, master, {"size": T.DoubleType(), "name": T.StringType()}).write.parquet(f"{tmp_path}/all")
+    rows = spark.read.parquet(f"{tmp_path}/all")
+    assert rows.count() == 400 * 3000
+    of_task = [r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()]
+    assert len([n for n in of_task if n > 1000]) > 3
+    assert sum(f.stat().st_size for f in (tmp_path / "all").glob("*.parquet")) < 1.0 * 400 * 3000
+
+
 def _events(spark, rows):
     return spark.createDataFrame(rows, "id bigint, wh bigint, item string, qty double, ts timestamp_ntz, note string")
 
